@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from boreal.llm import leakage, neardup, splits
+from boreal.llm import language, leakage, neardup, splits
 from boreal.session import table
 
 EXAMPLES = ("train", "dev", "test")
@@ -42,6 +42,18 @@ def p5_report(spark: SparkSession, d: str) -> DataFrame:
     return leakage.leak_report(train, {"dev": dev, "test": test})
 
 
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return language.wrong_labels(table(spark, d, "documents"))
+
+
+def p9_labels(spark: SparkSession, d: str) -> DataFrame:
+    return language.document_languages(table(spark, d, "documents"))
+
+
+def p9_segments(spark: SparkSession, d: str) -> DataFrame:
+    return language.language_segments(table(spark, d, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k[:1] == "p" and k[1:2].isdigit()}
 
