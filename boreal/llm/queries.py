@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from boreal.llm import language, leakage, neardup, splits
+from boreal.llm import contamination, language, leakage, neardup, splits
 from boreal.session import table
 
 EXAMPLES = ("train", "dev", "test")
@@ -42,6 +43,19 @@ def p5_report(spark: SparkSession, d: str) -> DataFrame:
     return leakage.leak_report(train, {"dev": dev, "test": test})
 
 
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return contamination.contaminated(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+def p8_items(spark: SparkSession, d: str) -> DataFrame:
+    return contamination.leaked_items(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+def p8_kept(spark: SparkSession, d: str) -> DataFrame:
+    kept = contamination.without_leaks(table(spark, d, "documents"), table(spark, d, "benchmark"))
+    return kept.groupBy("source").agg(F.count(F.lit(1)).alias("documents"))
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return language.wrong_labels(table(spark, d, "documents"))
 

@@ -16,7 +16,14 @@ reach as (select a, b from edges union select reach.a, edges.b from reach join e
 
 _TURN = r"regexp_extract_all(text, '(?is)<\|im_start\|>\s*assistant\b(.*?)(?:<\|im_end\|>|$)', 1)"
 
+_GRAMS = """(select {key} as id, g, unnest(range(1, len(w) - 10)) as i, w from (select {key}, regexp_extract_all(lower(nfc_normalize(text)), '[\\p{{L}}\\p{{N}}]+') as w, 0 as g from {name} where text is not null) where len(w) >= 12)"""
+_LEAKS = f"""select distinct d.id as doc_id, b.id as item_id
+  from (select id, array_to_string(w[i:i + 11], ' ') as s from {_GRAMS.format(key='doc_id', name='documents')}) d
+  join (select id, array_to_string(w[i:i + 11], ' ') as s from {_GRAMS.format(key='item_id', name='benchmark')}) b using (s)"""
+
 ORACLES = {
+    "p8_found": _LEAKS,
+    "p8_kept": f"select source, count(*) as documents from documents where doc_id not in (select doc_id from ({_LEAKS})) group by source",
     "p3_found": f"with recursive {_TIES} select distinct a as source_id_a, b as source_id_b from reach where a < b",
     "p4_found": f"""
 with sets as (select distinct record_id as id, {_WORDS.format(text='text')} as w from donnees_quebec_fixture_harvest where record_id is not null and text is not null),
