@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boreal.llm import contamination, language, leakage, neardup, splits
+from boreal.llm import contamination, language, leakage, neardup, packing, splits, tokens
 from boreal.session import table
 
 EXAMPLES = ("train", "dev", "test")
@@ -17,6 +17,14 @@ def _examples(spark: SparkSession, d: str) -> list[DataFrame]:
     return [table(spark, d, t) for t in EXAMPLES]
 
 
+def p2_token_cube(spark: SparkSession, d: str) -> DataFrame:
+    return tokens.token_cube(tokens.example_tokens(_examples(spark, d)))
+
+
+def p2_example_tokens(spark: SparkSession, d: str) -> DataFrame:
+    return tokens.example_tokens(_examples(spark, d))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return splits.tied_sources(_examples(spark, d))
 
@@ -43,6 +51,14 @@ def p5_report(spark: SparkSession, d: str) -> DataFrame:
     return leakage.leak_report(train, {"dev": dev, "test": test})
 
 
+def p7_packed(spark: SparkSession, d: str) -> DataFrame:
+    return packing.packed(table(spark, d, "documents"))
+
+
+def p7_fill(spark: SparkSession, d: str) -> DataFrame:
+    return packing.fill_report(packing.packed(table(spark, d, "documents")))
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return contamination.contaminated(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
