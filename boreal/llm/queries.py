@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boreal.llm import contamination, language, leakage, neardup, packing, splits, tokens
+from boreal.llm import contamination, language, leakage, neardup, packing, pairs, splits, tokens
 from boreal.session import table
 
 EXAMPLES = ("train", "dev", "test")
@@ -51,6 +51,14 @@ def p5_report(spark: SparkSession, d: str) -> DataFrame:
     return leakage.leak_report(train, {"dev": dev, "test": test})
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return pairs.broken_pairs(table(spark, d, "base_vs_adapter_generations"), table(spark, d, "eval_prompts"))
+
+
+def p6_counts(spark: SparkSession, d: str) -> DataFrame:
+    return pairs.defect_counts(p6_found(spark, d))
+
+
 def p7_packed(spark: SparkSession, d: str) -> DataFrame:
     return packing.packed(table(spark, d, "documents"))
 
