@@ -3,20 +3,17 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from functools import reduce
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boreal.llm import lexis
-from boreal.llm.overlap import distinct_sets, verified, word_sets
+from boreal.llm.overlap import distinct_sets, postings, verified, word_sets
 from boreal.llm.splits import plain
 from boreal.session import written
 
-ROWS, BANDS = 6, 36
+#: Of the 64 bits of a sketch, two sets with an overlap of 0.65 differ in 11.2 on average, with a deviation of 3.
+ROWS, BANDS, RADIUS = 6, 36, 19
 _TURN = re.compile(r"<\|im_start\|>\s*assistant\b(.*?)(?:<\|im_end\|>|(?=<\|im_start\|>)|\Z)", re.S | re.I)
 
 
@@ -25,25 +22,14 @@ def assistant_turns(text: str) -> str:
     return "\n".join(_TURN.findall(text))
 
 
-def _bands(sets: DataFrame) -> DataFrame:
-    def batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            if len(pdf):
-                keys = lexis.band_keys(lexis.minhash(list(pdf["words"]), ROWS * BANDS), ROWS)
-                yield pd.DataFrame({"band": keys.ravel(), "sid": np.repeat(pdf["sid"].to_numpy(), BANDS), "n": np.repeat(pdf["n"].to_numpy().astype(np.int32), BANDS)})
-
-    return sets.select("sid", "n", "words").mapInPandas(batches, "band bigint, sid bigint, n int")
-
-
 def cross_pairs(train: DataFrame, held: DataFrame, key: str, text: str, threshold: float = 0.65) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(train members, held members, pairs of sets)``; only bands met by both sides make candidates, so the far
     larger training side is never joined with itself. Equal sets are candidates by their key."""
     sides = [written(word_sets(t, key, text, assistant_turns), name) for t, name in ((train, "train-sets"), (held, "held-sets"))]
     one = [written(distinct_sets(s), "distinct-sets") for s in sides]
-    a, b = (_bands(s) for s in one)
-    a = a.select("band", F.col("sid").alias("sid_a"), F.col("n").alias("n_a"))
-    b = b.select("band", F.col("sid").alias("sid_b"), F.col("n").alias("n_b"))
-    met = a.join(b, "band").where(F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * F.lit(threshold - 1e-9)).select("sid_a", "sid_b").distinct()
+    a, b = (postings(s, ROWS, BANDS).select("shard", *[F.col(c).alias(f"{c}_{x}") for c in ("sid", "sketch")]) for s, x in zip(one, "ab", strict=True))
+    near = F.bit_count(F.col("sketch_a").bitwiseXOR(F.col("sketch_b"))) <= RADIUS
+    met = a.join(b, "shard").where(near).select("sid_a", "sid_b").distinct()
     members = [written(s.select("key", "set_key").distinct(), "members") for s in sides]
     return members[0], members[1], verified(met, one[0], one[1], threshold)
 

@@ -9,36 +9,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boreal.llm import lexis
 from boreal.llm.bktree import Forest
 from boreal.llm.components import hash_to_min
-from boreal.llm.overlap import distinct_sets, verified, word_sets
+from boreal.llm.overlap import distinct_sets, postings, verified, word_sets
 from boreal.session import written
 
 ROWS, BANDS, RADIUS, BLOCK = 6, 36, 19, 2048
 
 
-def _shards(sets: DataFrame, keys_only: bool) -> DataFrame:
-    """A posting ``shard, sid, sketch`` of each set in each of its shards (MinHash bands). The sketch is one bit
-    of each of 64 further MinHash values: two sets with overlap J differ in about 32 (1 - J) bits."""
-
-    def batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            if not len(pdf):
-                continue
-            sets = list(pdf["words"])
-            shards = lexis.band_keys(lexis.minhash(sets, ROWS * BANDS), ROWS)
-            if keys_only:
-                yield pd.DataFrame({"shard": shards.ravel()})
-                continue
-            low = (lexis.minhash(sets, 64, seed=11) & 1).astype(np.uint64)
-            sketch = (low << np.arange(64, dtype=np.uint64)).sum(axis=1, dtype=np.uint64).view(np.int64)
-            yield pd.DataFrame({"shard": shards.ravel(), "sid": np.repeat(pdf["sid"].to_numpy(), BANDS), "sketch": np.repeat(sketch, BANDS)})
-
-    schema = "shard bigint" if keys_only else "shard bigint, sid bigint, sketch bigint"
-    return sets.select("words", *[] if keys_only else ["sid"]).mapInPandas(batches, schema)
-
-
 def _search(routed: DataFrame, radius: int) -> DataFrame:
     """BK-trees of the members of each (shard, block), searched with the queries sent there."""
 
@@ -83,12 +61,12 @@ def candidate_pairs(sets: DataFrame, radius: int = RADIUS, block: int = BLOCK) -
     joins one of its ceil(n / block) trees and asks all of them up to its own, so no task holds more than a
     block of members and nothing is dropped.
     """
-    hot = _shards(sets, True).groupBy("shard").count().where(F.col("count") > block).select("shard", F.ceil(F.col("count") / block).cast("int").alias("blocks"))
-    postings = _shards(sets, False).join(written(hot, "hot"), "shard", "left")
+    hot = postings(sets, ROWS, BANDS, keys_only=True).groupBy("shard").count().where(F.col("count") > block).select("shard", F.ceil(F.col("count") / block).cast("int").alias("blocks"))
+    sent = postings(sets, ROWS, BANDS).join(written(hot, "hot"), "shard", "left")
     own = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
     whole = F.array(F.struct(F.lit(0).alias("block"), F.lit(True).alias("member"), F.lit(True).alias("asks")))
     split = F.transform(F.sequence(F.lit(0), own), lambda x: F.struct(x.alias("block"), (x == own).alias("member"), F.lit(True).alias("asks")))
-    routed = postings.select("shard", "sid", "sketch", F.inline(F.when(F.col("blocks").isNull(), whole).otherwise(split)))
+    routed = sent.select("shard", "sid", "sketch", F.inline(F.when(F.col("blocks").isNull(), whole).otherwise(split)))
     routed = routed.repartition("shard", "block").sortWithinPartitions("shard", "block")
     return _search(routed, radius).distinct()
 

@@ -44,6 +44,27 @@ def distinct_sets(sets: DataFrame) -> DataFrame:
     return sets.groupBy("set_key").agg(F.first("sid").alias("sid"), F.first("n").alias("n"), F.first("words").alias("words"))
 
 
+def postings(sets: DataFrame, rows: int, bands: int, keys_only: bool = False) -> DataFrame:
+    """A posting ``shard, sid, sketch`` of each set in each of its MinHash bands. The sketch is one bit of each of
+    64 further MinHash values: two sets with overlap J differ in about 32 (1 - J) of them."""
+
+    def batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            if not len(pdf):
+                continue
+            own = list(pdf["words"])
+            shards = lexis.band_keys(lexis.minhash(own, rows * bands), rows)
+            if keys_only:
+                yield pd.DataFrame({"shard": shards.ravel()})
+                continue
+            low = (lexis.minhash(own, 64, seed=11) & 1).astype(np.uint64)
+            sketch = (low << np.arange(64, dtype=np.uint64)).sum(axis=1, dtype=np.uint64).view(np.int64)
+            yield pd.DataFrame({"shard": shards.ravel(), "sid": np.repeat(pdf["sid"].to_numpy(), bands), "sketch": np.repeat(sketch, bands)})
+
+    schema = "shard bigint" if keys_only else "shard bigint, sid bigint, sketch bigint"
+    return sets.select("words", *[] if keys_only else ["sid"]).mapInPandas(batches, schema)
+
+
 def verified(pairs: DataFrame, left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
     """Candidate ``sid_a, sid_b`` -> ``set_a, set_b, overlap`` with the exact word overlap at or above the threshold.
     Two sets that share a 64-bit sid are both checked, so a clash can't lose a pair."""
