@@ -185,8 +185,10 @@ def fit_profiles(rows: DataFrame, key: str = "doc_id", text: str = "text", sampl
     seeds = [fold(SEEDS[k]) for k in LANGUAGES]
     base = _counts(seeds, list(range(len(LANGUAGES))), len(LANGUAGES)) * 3
     profiles = Profiles.fit(base, 2048)
-    drawn = rows.where(F.col(text).isNotNull()).select(F.xxhash64(F.col(key)).alias("h"), F.col(text).alias("t")).orderBy("h", "t").limit(sample)
-    texts = [fold(r["t"]) for r in drawn.select("t").toLocalIterator()]
+    marked = rows.where(F.col(text).isNotNull()).select(F.xxhash64(F.col(key)).alias("h"), F.col(text).alias("t"))
+    # Only hashes are ranked; the texts of the sample alone leave their partitions.
+    least = [r["h"] for r in marked.select("h").orderBy("h").limit(sample).collect()]
+    texts = [fold(r["t"]) for r in marked.where(F.col("h") <= least[-1]).orderBy("h", "t").limit(sample).collect()] if least else []
     for r in range(rounds):
         parts, labels = [], []
         for s in sentences(texts, profiles):
