@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boreal.llm import contamination, language, leakage, neardup, packing, pairs, splits, tokens
+from boreal.llm import boilerplate, contamination, language, leakage, neardup, packing, pairs, splits, tokens
 from boreal.session import table
 
 EXAMPLES = ("train", "dev", "test")
@@ -17,6 +17,14 @@ def _examples(spark: SparkSession, d: str) -> list[DataFrame]:
     return [table(spark, d, t) for t in EXAMPLES]
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return boilerplate.furniture_lines(table(spark, d, "assnat_fixture_harvest"))
+
+
+def p1_main(spark: SparkSession, d: str) -> DataFrame:
+    return boilerplate.main_content(table(spark, d, "assnat_fixture_harvest"))
+
+
 def p2_token_cube(spark: SparkSession, d: str) -> DataFrame:
     return tokens.token_cube(tokens.example_tokens(_examples(spark, d)))
 
