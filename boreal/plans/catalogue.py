@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from boreal.plans import corpus
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {**corpus.Q}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {**corpus.SQL}

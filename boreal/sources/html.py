@@ -7,6 +7,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from boreal.functions.text import clean
 
@@ -60,7 +61,7 @@ def parse(html: str | None) -> tuple[str, list[str]]:
     return " ".join("".join(reader.title).split()), [x for x in rows if x]
 
 
-@F.pandas_udf("title string, lines array<string>")
+@F.pandas_udf(T.StructType([T.StructField("title", T.StringType()), T.StructField("lines", T.ArrayType(T.StringType()))]))
 def html_text(html: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([parse(h) for h in html], columns=["title", "lines"])
 
