@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +30,26 @@ def local_session(cpus: int | str = 8, memory: str = "8g", partitions: int = 8)
     )
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in the session's Python workers, whatever their search path: once for each
+    application it goes to them as a zip file."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="boreal-package-")
+    atexit.register(shutil.rmtree, folder, True)
+    target = os.path.join(folder, f"{root.name}.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, str(path.relative_to(root.parent)))
+    context.addPyFile(target)
+    _SHIPPED.add(context.applicationId)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: the session's ``spark.checkpoint.dir``; only where that is unset
     (tests on one machine) a temporary folder that goes away with the process."""
@@ -42,6 +65,7 @@ def written(df: DataFrame, name: str, partitions: int | None = None) -> DataFram
     """Write ``df`` as a parquet table in the shared folder and read it back: one computation however often
     the result is used, no lineage behind it, and nothing lost with an executor."""
     spark = df.sparkSession
+    ship(spark)
     path = f"{shared_dir(spark)}/boreal-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     if partitions:
         df = df.coalesce(partitions)
@@ -50,4 +74,5 @@ def written(df: DataFrame, name: str, partitions: int | None = None) -> DataFram
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
