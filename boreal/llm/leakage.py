@@ -13,7 +13,8 @@ from boreal.llm.splits import plain
 from boreal.session import written
 
 #: Of the 64 bits of a sketch, two sets with an overlap of 0.65 differ in 11.2 on average, with a deviation of 3.
-ROWS, BANDS, RADIUS = 6, 36, 19
+#: They share one of the 64 bands with a probability of 0.993 (0.9997 from 0.7 on).
+ROWS, BANDS, RADIUS = 6, 64, 21
 _TURN = re.compile(r"<\|im_start\|>\s*assistant\b(.*?)(?:<\|im_end\|>|(?=<\|im_start\|>)|\Z)", re.S | re.I)
 
 

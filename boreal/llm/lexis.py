@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import xxhash
@@ -59,23 +59,39 @@ def set_key(values: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(values.tobytes())
 
 
-def _odd(count: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    rng = np.random.default_rng(seed)
-    draw = lambda: rng.integers(1, 1 << 63, count, dtype=np.uint64)
-    return draw() * np.uint64(2) + np.uint64(1), draw()
+def _columns(sets: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Sets of like size as the columns of a matrix of 32-bit words, filled up with their own first value."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    order = np.argsort(sizes, kind="stable")
+    at = 0
+    while at < len(order):
+        least = int(sizes[order[at]])
+        upto = int(np.searchsorted(sizes[order], max(least * 5 // 4, least + 4), side="right"))
+        upto = min(upto, at + max(1, 400_000 // max(least, 1)))
+        own = order[at:upto]
+        height = int(sizes[own[-1]])
+        out = np.empty((height, len(own)), np.uint32)
+        for c, i in enumerate(own):
+            mixed = sets[i].astype(np.int64).view(np.uint64)
+            mixed = ((mixed ^ (mixed >> np.uint64(32))) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+            out[: len(mixed), c] = mixed
+            out[len(mixed) :, c] = mixed[0]
+        yield own, out
+        at = upto
 
 
 def minhash(sets: list[np.ndarray], count: int, seed: int = 7) -> np.ndarray:
     """``count`` MinHash values (uint32) of each non-empty set, as a matrix of sets x count."""
-    mult, add = _odd(count, seed)
-    sizes = np.array([len(s) for s in sets], np.int64)
-    starts = np.zeros(len(sets), np.int64)
-    np.cumsum(sizes[:-1], out=starts[1:])
-    flat = np.concatenate(sets).astype(np.int64).view(np.uint64)
+    rng = np.random.default_rng(seed)
+    mult = rng.integers(0, 1 << 31, count, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+    add = rng.integers(0, 1 << 32, count, dtype=np.uint32)
     out = np.empty((count, len(sets)), np.uint32)
-    for k in range(count):
-        mixed = ((flat * mult[k] + add[k]) >> np.uint64(32)).astype(np.uint32)
-        out[k] = np.minimum.reduceat(mixed, starts)
+    for own, words_ in _columns(sets):
+        buffer = np.empty_like(words_)
+        for k in range(count):
+            np.multiply(words_, mult[k], out=buffer)
+            buffer += add[k]
+            out[k, own] = buffer.min(axis=0)
     return out.T
 
 

@@ -14,7 +14,9 @@ from boreal.llm.components import hash_to_min
 from boreal.llm.overlap import distinct_sets, postings, verified, word_sets
 from boreal.session import written
 
-ROWS, BANDS, RADIUS, BLOCK = 6, 36, 19, 2048
+#: Of the 64 bits of a sketch, two sets with an overlap of 0.65 differ in 11.2 on average, with a deviation of 3.
+#: They share one of the 64 shards with a probability of 0.993 (0.9997 from 0.7 on).
+ROWS, BANDS, RADIUS, BLOCK = 6, 64, 21, 2048
 
 
 def _search(routed: DataFrame, radius: int) -> DataFrame:
