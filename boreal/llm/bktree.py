@@ -1,4 +1,4 @@
-"""BK-trees over 64-bit sketches, built and searched level by level with numpy for many shards at once.
+"""BK-trees over 128-bit sketches, built and searched level by level with numpy for many shards at once.
 
 In a BK-tree each child hangs from its parent by an edge that carries their integer Hamming distance d, and no
 two children of a node have the same d. By the triangle inequality a query at distance q from a node needs only
@@ -9,11 +9,16 @@ from __future__ import annotations
 
 import numpy as np
 
-_EDGES = 128  # more than any distance between 64-bit sketches
+_EDGES = 256  # more than any distance between 128-bit sketches
+
+
+def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hamming distance of sketches, as rows of 64-bit halves."""
+    return np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
 
 
 class Forest:
-    """One BK-tree for each shard: ``shard`` (any integers) and ``bits`` (uint64) of all items, in one batch."""
+    """One BK-tree for each shard: ``shard`` (any integers) and ``bits`` (rows of uint64 halves) of all items, in one batch."""
 
     def __init__(self, shard: np.ndarray, bits: np.ndarray):
         self.bits = bits
@@ -25,7 +30,7 @@ class Forest:
         edges, children = [], []
         while len(todo):
             node = at[todo]
-            slot = node * _EDGES + np.bitwise_count(bits[todo] ^ bits[node])
+            slot = node * _EDGES + distance(bits[todo], bits[node])
             used, lead, where = np.unique(slot, return_index=True, return_inverse=True)
             child = todo[lead]  # the first item of a slot becomes the child there, the others descend to it
             edges.append(used)
@@ -44,12 +49,12 @@ class Forest:
         node = root[query]
         found_q, found_i = [], []
         while len(query):
-            distance = np.bitwise_count(bits[query] ^ self.bits[node]).astype(np.int64)
-            hit = distance <= radius
+            apart = distance(bits[query], self.bits[node])
+            hit = apart <= radius
             found_q.append(query[hit])
             found_i.append(node[hit])
-            low = np.searchsorted(self.slot, node * _EDGES + np.maximum(distance - radius, 0))
-            high = np.searchsorted(self.slot, node * _EDGES + np.minimum(distance + radius, _EDGES - 1), side="right")
+            low = np.searchsorted(self.slot, node * _EDGES + np.maximum(apart - radius, 0))
+            high = np.searchsorted(self.slot, node * _EDGES + np.minimum(apart + radius, _EDGES - 1), side="right")
             width = high - low
             query = np.repeat(query, width)
             ahead = np.arange(len(query)) - np.repeat(np.cumsum(width) - width, width)

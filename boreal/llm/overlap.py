@@ -45,8 +45,8 @@ def distinct_sets(sets: DataFrame) -> DataFrame:
 
 
 def postings(sets: DataFrame, rows: int, bands: int, keys_only: bool = False) -> DataFrame:
-    """A posting ``shard, sid, sketch`` of each set in each of its MinHash bands. The sketch is one bit of each of
-    64 further MinHash values: two sets with overlap J differ in about 32 (1 - J) of them."""
+    """A posting ``shard, sid, sketch, sketch2`` of each set in each of its MinHash bands. The sketches are one bit of
+    each of 128 further MinHash values: two sets with overlap J differ in about 64 (1 - J) of them."""
 
     def batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
@@ -57,11 +57,11 @@ def postings(sets: DataFrame, rows: int, bands: int, keys_only: bool = False) ->
             if keys_only:
                 yield pd.DataFrame({"shard": shards.ravel()})
                 continue
-            low = (lexis.minhash(own, 64, seed=11) & 1).astype(np.uint64)
-            sketch = (low << np.arange(64, dtype=np.uint64)).sum(axis=1, dtype=np.uint64).view(np.int64)
-            yield pd.DataFrame({"shard": shards.ravel(), "sid": np.repeat(pdf["sid"].to_numpy(), bands), "sketch": np.repeat(sketch, bands)})
+            low = (lexis.minhash(own, 128, seed=11) & 1).astype(np.uint64) << (np.arange(128, dtype=np.uint64) % np.uint64(64))
+            halves = [low[:, h : h + 64].sum(axis=1, dtype=np.uint64).view(np.int64) for h in (0, 64)]
+            yield pd.DataFrame({"shard": shards.ravel(), "sid": np.repeat(pdf["sid"].to_numpy(), bands), "sketch": np.repeat(halves[0], bands), "sketch2": np.repeat(halves[1], bands)})
 
-    schema = "shard bigint" if keys_only else "shard bigint, sid bigint, sketch bigint"
+    schema = "shard bigint" if keys_only else "shard bigint, sid bigint, sketch bigint, sketch2 bigint"
     return sets.select("words", *[] if keys_only else ["sid"]).mapInPandas(batches, schema)
 
 

@@ -41,11 +41,11 @@ def test_words_are_runs_of_letters_and_digits():
 
 def test_forest_finds_what_comparing_all_finds():
     rng = np.random.default_rng(1)
-    bits = rng.integers(0, 1 << 63, 400, dtype=np.uint64)
-    bits[200:] = bits[:200] ^ (np.uint64(1) << rng.integers(0, 63, 200, dtype=np.uint64))
+    bits = rng.integers(0, 1 << 63, (400, 2), dtype=np.uint64)
+    bits[200:] = bits[:200] ^ (np.uint64(1) << rng.integers(0, 63, (200, 2), dtype=np.uint64))
     shard = rng.integers(0, 5, 400)
     q, i = Forest(shard, bits).search(shard, bits, 9)
-    near = np.bitwise_count(bits[:, None] ^ bits[None]) <= 9
+    near = np.bitwise_count(bits[:, None] ^ bits[None]).sum(axis=2) <= 9
     want = {(a, b) for a, b in np.argwhere(near & (shard[:, None] == shard[None]))}
     assert set(zip(q.tolist(), i.tolist(), strict=True)) == want
     assert len(q) == len(want)
