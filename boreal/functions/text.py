@@ -110,13 +110,15 @@ def sentences(x: Column | str) -> Column:
     return F.filter(F.split(clean(x), r"(?<=[.!?]) "), lambda s: s != "")
 
 
-def first_sentence(x: Column | str, most: int) -> Column:
-    return F.rtrim(F.substring(F.coalesce(F.try_element_at(sentences(x), F.lit(1)), clean(x)), 1, most))
+def first_sentence(x: Column | str, most: int, own: Column | None = None) -> Column:
+    """The first sentence, cut at ``most`` characters; ``own`` are the text's sentences where they are at hand."""
+    own = sentences(x) if own is None else own
+    return F.rtrim(F.substring(F.coalesce(F.try_element_at(own, F.lit(1)), clean(x)), 1, most))
 
 
-def summary(x: Column | str, most: int, count: int = 2) -> Column:
+def summary(x: Column | str, most: int, count: int = 2, own: Column | None = None) -> Column:
     """The first sentences that fit into ``most`` characters; the first is cut if it alone is too long."""
-    own = F.slice(sentences(x), 1, count)
+    own = F.slice(sentences(x) if own is None else own, 1, count)
     fits = F.aggregate(own, F.lit(""), lambda acc, s: F.when(F.length(F.concat_ws(" ", F.nullif(acc, F.lit("")), s)) <= most, F.concat_ws(" ", F.nullif(acc, F.lit("")), s)).otherwise(acc))
     return F.when(F.size(own) == 0, F.lit("")).otherwise(F.coalesce(F.nullif(fits, F.lit("")), F.rtrim(F.substring(own[0], 1, most))))
 
@@ -192,12 +194,6 @@ def upper_share(x: Column | str) -> Column:
     return F.coalesce(F.try_divide(F.length(F.regexp_replace(_col(x), r"[^\p{Lu}]", "")), letters), F.lit(0.0))
 
 
-def trigrams(x: Column) -> Column:
-    """Distinct character trigrams of a text of three characters or more."""
-    spots = F.sequence(F.lit(1), F.greatest(F.length(x) - 2, F.lit(1)))
-    return F.array_distinct(F.transform(spots, lambda i: F.substr(x, i, F.lit(3))))
-
-
 def longest_leaves(*fields: Column, most: int = 4) -> Column:
     """The distinct non-blank fields, longest first (ties in order of text), at most ``most``, one per line."""
     own = F.array_distinct(F.filter(F.array(*[clean(f) for f in fields]), lambda s: s.isNotNull() & (s != "")))

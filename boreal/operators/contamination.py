@@ -2,17 +2,37 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boreal.functions.text import holdout_key, trigrams
+from boreal.functions.text import holdout_key
 from boreal.session import written
 
+_BUCKETS = 1 << 16
+
 
 def _keyed(df: DataFrame, key: str, text: str, least: int = 3) -> DataFrame:
     return df.select(F.col(key).alias("id"), holdout_key(text).alias("norm")).where(F.length("norm") >= least)
 
 
+def trigrams(text: str) -> np.ndarray:
+    """Distinct character trigrams of a text, each as the number its three code points make (a shorter text is one)."""
+    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    if len(code) < 3:
+        code = np.concatenate([code, np.zeros(3 - len(code), np.int64)])
+    return np.unique((code[:-2] << 42) | (code[1:-1] << 21) | code[2:])
+
+
+def _grams(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in it:
+        yield pd.DataFrame({"set": pdf["set"], "grams": [trigrams(t) for t in pdf["norm"]]})
+
+
 def exact_matches(train: DataFrame, holdout: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``train_id, holdout_id`` of texts that are equal under the holdout key."""
     a, b = _keyed(train, key, text), _keyed(holdout, key, text)
@@ -32,20 +52,33 @@ def similar_matches(train: DataFrame, holdout: DataFrame, key: str, text: str =
     sides = []
     for df, name in ((train, "train"), (holdout, "holdout")):
         rows = written(_keyed(df, key, text).withColumn("set", F.xxhash64("norm")), f"{name}-rows")
-        sets = rows.groupBy("set").agg(F.first("norm").alias("norm")).withColumn("grams", F.transform(trigrams(F.col("norm")), lambda g: F.xxhash64(g)))
-        sides.append((rows, written(sets.select("set", "grams", F.size("grams").alias("n")), f"{name}-sets")))
+        sets = rows.groupBy("set").agg(F.first("norm").alias("norm")).mapInPandas(_grams, "set bigint, grams array<bigint>")
+        sides.append((rows, written(sets, f"{name}-sets")))
     (train_rows, train_sets), (hold_rows, hold_sets) = sides
+    # Trigrams are ranked by the frequency of their bucket, one of a fixed number: any common order makes the prefixes
+    # exact, a rare-first one makes them few.
     grams = train_sets.select(F.explode("grams").alias("g")).union(hold_sets.select(F.explode("grams").alias("g")))
-    frequency = written(grams.groupBy("g").agg(F.count(F.lit(1)).alias("df")), "frequency")
+    frequency = np.zeros(_BUCKETS, np.int64)
+    for r in grams.groupBy(F.pmod("g", F.lit(_BUCKETS)).alias("b")).count().collect():
+        frequency[r["b"]] = r["count"]
+    shared = train.sparkSession.sparkContext.broadcast(frequency)  # _BUCKETS numbers, whatever the data
 
-    def prefixes(sets: DataFrame, x: str) -> DataFrame:
-        posted = sets.select("set", "n", F.explode("grams").alias("g")).join(frequency, "g")
-        kept = F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1
-        ranked = posted.groupBy("set", "n").agg(F.array_sort(F.collect_list(F.struct("df", "g"))).alias("by"))
-        return ranked.select(F.col("set").alias(f"set_{x}"), F.col("n").alias(f"n_{x}"), F.explode(F.slice("by", 1, kept.cast("int"))).alias("p")).select(f"set_{x}", f"n_{x}", "p.g")
+    def prefixes(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rare = shared.value
+        for pdf in it:
+            sets, sizes, grams = [], [], []
+            for s, g in zip(pdf["set"], pdf["grams"], strict=True):
+                kept = len(g) - math.ceil(len(g) * threshold - 1e-9) + 1
+                own = g[np.lexsort((g, rare[g % _BUCKETS]))[:kept]]
+                sets.append(np.full(len(own), s))
+                sizes.append(np.full(len(own), len(g), np.int32))
+                grams.append(own)
+            if sets:
+                yield pd.DataFrame({"set": np.concatenate(sets), "n": np.concatenate(sizes), "g": np.concatenate(grams)})
 
+    posted = lambda sets, x: sets.mapInPandas(prefixes, "set bigint, n int, g bigint").select("g", F.col("set").alias(f"set_{x}"), F.col("n").alias(f"n_{x}"))
     near = F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * (threshold - 1e-9)
-    pairs = prefixes(train_sets, "a").join(prefixes(hold_sets, "b"), "g").where(near & (F.col("set_a") != F.col("set_b"))).select("set_a", "set_b").distinct()
+    pairs = posted(train_sets, "a").join(posted(hold_sets, "b"), "g").where(near & (F.col("set_a") != F.col("set_b"))).select("set_a", "set_b").distinct()
     full = pairs.join(train_sets.select(F.col("set").alias("set_a"), F.col("grams").alias("ga")), "set_a").join(hold_sets.select(F.col("set").alias("set_b"), F.col("grams").alias("gb")), "set_b")
     both = F.size(F.array_intersect("ga", "gb"))
     scored = full.select("set_a", "set_b", (both / (F.size("ga") + F.size("gb") - both)).alias("raw")).where(F.col("raw") >= threshold)

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from boreal.functions.text import clean, has_word, norm_key, upper_share, word_count
+from boreal.functions.text import clean, has_word, norm_key, sha, upper_share, word_count
 from boreal.operators.dedup import duplicate_flags
 from boreal.operators.rules import cascade, reasons
 
@@ -44,18 +44,19 @@ class CurationPolicy:
 
 def marker_scores(df: DataFrame, text: str = "text", markers: Sequence[str] = MARKERS, least: float = 0.0) -> DataFrame:
     """``marker_hits``, the distinct markers that stand in a text as words, and their number over its words."""
-    lowered = F.lower(F.col(text))
+    df = df.withColumn("__low", F.lower(F.col(text)))  # a column of its own is computed once, not once a marker
+    lowered = F.col("__low")
     hits = reduce(lambda a, b: a + b, [has_word(lowered, m).cast("int") for m in markers])
     ratio = F.col("marker_hits") / F.greatest(F.lit(1), word_count(text))
     scored = df.withColumn("marker_hits", hits).withColumn("__ratio", ratio).where(F.col("__ratio") >= least)
-    return scored.withColumn("marker_score", F.round("__ratio", 4)).drop("__ratio")
+    return scored.withColumn("marker_score", F.round("__ratio", 4)).drop("__ratio", "__low")
 
 
 def score_records(df: DataFrame, policy: CurationPolicy, order: Sequence[str], text: str = "text", trusted: Column | None = None, review: Column | None = None, holdout: Column | None = None) -> DataFrame:
     """``curation_score``, ``curation_reasons`` in a fixed order and ``curation_label`` of each record. A repeated text
     is a penalty from its second occurrence on, in the given order; markers count as substrings."""
-    norm = norm_key(text)
-    flagged = duplicate_flags(df, norm, order, "__dup")
+    norm = F.col("__norm")
+    flagged = duplicate_flags(df.withColumn("__norm", norm_key(text)), sha(norm), order, "__dup")
     parts: list[tuple[str, Column, float]] = [(f"marker:{m}", F.contains(norm, F.lit(m)), w) for m, w in policy.markers.items()]
     unmarked = ~reduce(lambda a, b: a | b, [F.contains(norm, F.lit(m)) for m in policy.markers])
     parts += [(f"penalty:{p}", F.contains(norm, F.lit(p)), -w) for p, w in policy.penalties.items()]
@@ -83,4 +84,4 @@ def score_records(df: DataFrame, policy: CurationPolicy, order: Sequence[str], t
         ],
         "review_required",
     )
-    return scored.withColumn("curation_label", label).withColumn("curation_score", F.round("__score", 6)).drop("__score", "__dup")
+    return scored.withColumn("curation_label", label).withColumn("curation_score", F.round("__score", 6)).drop("__score", "__dup", "__norm")

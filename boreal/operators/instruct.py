@@ -40,18 +40,19 @@ def candidates(df: DataFrame, record: str, text: str = "text", strategies: Seque
     """One row for each strategy a record allows: its columns, ``rank`` (the strategy's place), ``task_type``,
     ``messages``, ``example_text`` and its two hashes. Strategies that find nothing to work on give no row."""
     w = wording or Wording()
-    body = X.clean(text)
-    lowered = F.lower(body)
-    base = df.withColumn("__body", body).withColumn("__marker", X.earliest(lowered, MARKERS)).withColumn("__pair", X.first_listed(lowered, CONTRASTS))
-    body = F.col("__body")
-    normal = X.clean(X.replace_words(body, REPLACEMENTS))
-    sentence = X.first_sentence(body, most_chars)
+    # Each costly text is a column of its own, so that it is computed once and not once a strategy.
+    base = df.withColumn("__body", X.clean(text))
+    base = base.withColumn("__low", F.lower("__body")).withColumn("__normal", X.clean(X.replace_words(F.col("__body"), REPLACEMENTS))).withColumn("__sents", X.sentences("__body"))
+    base = base.withColumn("__marker", X.earliest(F.col("__low"), MARKERS)).withColumn("__pair", X.first_listed(F.col("__low"), CONTRASTS))
+    body, normal = F.col("__body"), F.col("__normal")
+    sents = F.col("__sents")
+    sentence = X.first_sentence(body, most_chars, sents)
     key = F.concat_ws(":", X.sha(X.norm_key(body)), F.col(record).cast("string"))
     say = lambda user, answer: F.array(chat.message("system", w.system), chat.message("user", user), chat.message("assistant", answer))
     from boreal.operators.balance import probable
 
     made: dict[str, tuple[Column, Column]] = {
-        "summarize": (F.lit(True), say(w.summarize, X.summary(body, most_chars))),
+        "summarize": (F.lit(True), say(w.summarize, X.summary(body, most_chars, own=sents))),
         "style_rewrite": (F.lit(True), say(w.rewrite, body)),
         "explain_term": (F.col("__marker").isNotNull(), say(X.template(w.explain, term=F.col("__marker")), X.template(w.explained, term=F.col("__marker"), sentence=sentence))),
         "qa_from_context": (F.lit(True), say(w.question, sentence)),

@@ -225,7 +225,8 @@ def _first_marker_sql() -> str:
 def first_marker(spark, d):
     from boreal.operators.instruct import MARKERS
 
-    return _documents(spark, d).select("doc_id", X.earliest(F.lower(X.clean("text")), MARKERS).alias("marker"))
+    own = _documents(spark, d).select("doc_id", F.lower(X.clean("text")).alias("low"))
+    return own.select("doc_id", X.earliest(F.col("low"), MARKERS).alias("marker"))
 
 
 def _contrast_sql() -> str:
@@ -239,8 +240,8 @@ def _contrast_sql() -> str:
 def contrast_pair(spark, d):
     from boreal.operators.instruct import CONTRASTS
 
-    pair = X.first_listed(F.lower(X.clean("text")), CONTRASTS)
-    return _documents(spark, d).select("doc_id", F.when(pair.isNotNull(), F.concat(pair["left"], F.lit("|"), pair["right"])).alias("pair"))
+    pair = X.first_listed(F.col("low"), CONTRASTS)
+    return _documents(spark, d).select("doc_id", F.lower(X.clean("text")).alias("low")).select("doc_id", F.when(pair.isNotNull(), F.concat(pair["left"], F.lit("|"), pair["right"])).alias("pair"))
 
 
 @query(
