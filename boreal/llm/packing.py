@@ -87,7 +87,7 @@ def packed(
     if capacity < 1:
         raise ValueError("capacity must be positive")
     name = F.coalesce(F.nullif(F.trim(F.col(source)), F.lit("")), F.lit("(none)"))
-    sized = with_tokens(docs, text, {key: key, "source": name, "spread": F.xxhash64(F.col(key), F.length(text))}, path)
+    sized = with_tokens(docs, text, {key: key, "source": name, "spread": F.xxhash64(F.col(key), F.col(text))}, path)
     pieces = F.greatest(F.ceil(F.col("tokens") / capacity), F.lit(1)).cast("int")
     items = sized.select(key, "source", "spread", "tokens", F.explode(F.sequence(F.lit(0), pieces - 1)).alias("piece"))
     first = F.col("piece").cast("bigint") * capacity

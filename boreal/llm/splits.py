@@ -34,7 +34,7 @@ def source_components(rows: DataFrame, source: str = "source", record: str = "re
     A record with k sources gives k - 1 edges (each to its least source), so a record held by a third of all
     rows makes no clique. Null sources or records tie nothing.
     """
-    ties = rows.select(F.col(source).alias("source"), F.col(record).alias("record")).where("source is not null and record is not null")
+    ties = rows.select(F.col(source).alias("source"), F.col(record).alias("record")).where("source is not null and record is not null").distinct()
     shared = ties.groupBy("record").agg(F.min("source").alias("least"), F.max("source").alias("most")).where("least < most")
     edges = ties.join(shared, "record").where("source <> least").select(F.col("source").alias("a"), F.col("least").alias("b")).distinct()
     return hash_to_min(edges)
