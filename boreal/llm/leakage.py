@@ -8,13 +8,13 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boreal.llm.overlap import distinct_sets, postings, verified, word_sets
+from boreal.llm.overlap import distinct_sets, postings, verified, with_sketch, word_sets
 from boreal.llm.splits import plain
 from boreal.session import written
 
 #: Of the 128 bits of a sketch, two sets with an overlap of 0.65 differ in 22.4 on average, with a deviation of 4.3.
-#: They share one of the 64 bands with a probability of 0.993 (0.9997 from 0.7 on).
-ROWS, BANDS, RADIUS = 6, 64, 36
+#: They share one of the 56 bands with a probability of 0.988 (0.999 from 0.7 on).
+ROWS, BANDS, RADIUS = 6, 56, 36
 _TURN = re.compile(r"<\|im_start\|>\s*assistant\b(.*?)(?:<\|im_end\|>|(?=<\|im_start\|>)|\Z)", re.S | re.I)
 
 
@@ -27,13 +27,13 @@ def cross_pairs(train: DataFrame, held: DataFrame, key: str, text: str, threshol
     """``(train members, held members, pairs of sets)``; only bands met by both sides make candidates, so the far
     larger training side is never joined with itself. Equal sets are candidates by their key."""
     sides = [written(word_sets(t, key, text, assistant_turns), name) for t, name in ((train, "train-sets"), (held, "held-sets"))]
-    one = [written(distinct_sets(s), "distinct-sets") for s in sides]
-    a, b = (postings(s, ROWS, BANDS).select("shard", *[F.col(c).alias(f"{c}_{x}") for c in ("sid", "sketch", "sketch2")]) for s, x in zip(one, "ab", strict=True))
+    one = [written(with_sketch(distinct_sets(s)), "distinct-sets") for s in sides]
+    # A posting is a band and the sketch, which stands for its sets until the few pairs left are checked.
+    a, b = (postings(s, ROWS, BANDS, ("s1", "s2")).withColumnsRenamed({"s1": f"s1_{x}", "s2": f"s2_{x}"}) for s, x in zip(one, "ab", strict=True))
     apart = lambda c: F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b")))
-    near = apart("sketch") + apart("sketch2") <= RADIUS
-    met = a.join(b, "shard").where(near).select("sid_a", "sid_b").distinct()
+    met = a.join(b, "shard").where(apart("s1") + apart("s2") <= RADIUS).select("s1_a", "s2_a", "s1_b", "s2_b").distinct()
     members = [written(s.select("key", "set_key").distinct(), "members") for s in sides]
-    return members[0], members[1], verified(met, one[0], one[1], threshold)
+    return members[0], members[1], verified(met, one[0], one[1], threshold, ("s1", "s2"))
 
 
 def leaked_pairs(train: DataFrame, held: list[DataFrame], key: str = "example_id", text: str = "text", threshold: float = 0.65) -> DataFrame:

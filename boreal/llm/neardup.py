@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from boreal.llm.bktree import Forest
 from boreal.llm.components import hash_to_min
-from boreal.llm.overlap import distinct_sets, postings, verified, word_sets
+from boreal.llm.overlap import distinct_sets, postings, verified, with_sketch, word_sets
 from boreal.session import written
 
 #: Of the 128 bits of a sketch, two sets with an overlap of 0.65 differ in 22.4 on average, with a deviation of 4.3.
@@ -29,7 +29,7 @@ def _search(routed: DataFrame, radius: int) -> DataFrame:
             group = np.concatenate([[0], np.cumsum(change)])
             busy = np.bincount(group)[group] > 1
             pdf, group = pdf[busy], group[busy]
-            sid, bits, member = pdf["sid"].to_numpy(), pdf[["sketch", "sketch2"]].to_numpy().view(np.uint64), pdf["member"].to_numpy()
+            sid, bits, member = pdf["sid"].to_numpy(), pdf[["s1", "s2"]].to_numpy().view(np.uint64), pdf["member"].to_numpy()
             items, queries = np.flatnonzero(member), np.flatnonzero(pdf["asks"].to_numpy())
             if not len(items):
                 return pd.DataFrame({"sid_a": [], "sid_b": []}, dtype="int64")
@@ -63,12 +63,12 @@ def candidate_pairs(sets: DataFrame, radius: int = RADIUS, block: int = BLOCK) -
     joins one of its ceil(n / block) trees and asks all of them up to its own, so no task holds more than a
     block of members and nothing is dropped.
     """
-    hot = postings(sets, ROWS, BANDS, keys_only=True).groupBy("shard").count().where(F.col("count") > block).select("shard", F.ceil(F.col("count") / block).cast("int").alias("blocks"))
-    sent = postings(sets, ROWS, BANDS).join(written(hot, "hot"), "shard", "left")
+    hot = postings(sets, ROWS, BANDS).groupBy("shard").count().where(F.col("count") > block).select("shard", F.ceil(F.col("count") / block).cast("int").alias("blocks"))
+    sent = postings(sets, ROWS, BANDS, ("sid", "s1", "s2")).join(written(hot, "hot"), "shard", "left")
     own = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
     whole = F.array(F.struct(F.lit(0).alias("block"), F.lit(True).alias("member"), F.lit(True).alias("asks")))
     split = F.transform(F.sequence(F.lit(0), own), lambda x: F.struct(x.alias("block"), (x == own).alias("member"), F.lit(True).alias("asks")))
-    routed = sent.select("shard", "sid", "sketch", "sketch2", F.inline(F.when(F.col("blocks").isNull(), whole).otherwise(split)))
+    routed = sent.select("shard", "sid", "s1", "s2", F.inline(F.when(F.col("blocks").isNull(), whole).otherwise(split)))
     routed = routed.repartition("shard", "block").sortWithinPartitions("shard", "block")
     return _search(routed, radius).distinct()
 
@@ -77,7 +77,7 @@ def near_pairs(rows: DataFrame, key: str, text: str, threshold: float = 0.65) ->
     """``(members, pairs)``: members has ``key, set_key``; pairs has ``set_a, set_b, overlap`` of different sets."""
     sets = written(word_sets(rows, key, text), "sets")
     members = sets.select("key", "set_key").distinct()
-    one = written(distinct_sets(sets), "distinct-sets")
+    one = written(with_sketch(distinct_sets(sets)), "distinct-sets")
     return members, verified(candidate_pairs(one), one, one, threshold)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -44,32 +44,37 @@ def distinct_sets(sets: DataFrame) -> DataFrame:
     return sets.groupBy("set_key").agg(F.first("sid").alias("sid"), F.first("n").alias("n"), F.first("words").alias("words"))
 
 
-def postings(sets: DataFrame, rows: int, bands: int, keys_only: bool = False) -> DataFrame:
-    """A posting ``shard, sid, sketch, sketch2`` of each set in each of its MinHash bands. The sketches are one bit of
-    each of 128 further MinHash values: two sets with overlap J differ in about 64 (1 - J) of them."""
+def with_sketch(sets: DataFrame) -> DataFrame:
+    """Adds ``s1, s2``: one bit of each of 128 MinHash values. Two sets with overlap J differ in about 64 (1 - J)."""
 
     def batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
             if not len(pdf):
                 continue
-            own = list(pdf["words"])
-            shards = lexis.band_keys(lexis.minhash(own, rows * bands), rows)
-            if keys_only:
-                yield pd.DataFrame({"shard": shards.ravel()})
-                continue
-            low = (lexis.minhash(own, 128, seed=11) & 1).astype(np.uint64) << (np.arange(128, dtype=np.uint64) % np.uint64(64))
+            low = (lexis.minhash(list(pdf["words"]), 128, seed=11) & 1).astype(np.uint64) << (np.arange(128, dtype=np.uint64) % np.uint64(64))
             halves = [low[:, h : h + 64].sum(axis=1, dtype=np.uint64).view(np.int64) for h in (0, 64)]
-            yield pd.DataFrame({"shard": shards.ravel(), "sid": np.repeat(pdf["sid"].to_numpy(), bands), "sketch": np.repeat(halves[0], bands), "sketch2": np.repeat(halves[1], bands)})
+            yield pdf.assign(s1=halves[0], s2=halves[1])
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in sets.schema)
+    return sets.mapInPandas(batches, f"{schema}, s1 bigint, s2 bigint")
+
+
+def postings(sets: DataFrame, rows: int, bands: int, carry: Sequence[str] = ()) -> DataFrame:
+    """``shard`` and the carried bigint columns of each set, for each of its MinHash bands."""
+
+    def batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            if len(pdf):
+                shards = lexis.band_keys(lexis.minhash(list(pdf["words"]), rows * bands), rows)
+                yield pd.DataFrame({"shard": shards.ravel(), **{c: np.repeat(pdf[c].to_numpy(), bands) for c in carry}})
 
-    schema = "shard bigint" if keys_only else "shard bigint, sid bigint, sketch bigint, sketch2 bigint"
-    return sets.select("words", *[] if keys_only else ["sid"]).mapInPandas(batches, schema)
+    return sets.select("words", *carry).mapInPandas(batches, ", ".join(f"{c} bigint" for c in ("shard", *carry)))
 
 
-def verified(pairs: DataFrame, left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
-    """Candidate ``sid_a, sid_b`` -> ``set_a, set_b, overlap`` with the exact word overlap at or above the threshold.
-    Two sets that share a 64-bit sid are both checked, so a clash can't lose a pair."""
-    a = left.select(F.col("sid").alias("sid_a"), F.col("set_key").alias("set_a"), F.col("words").alias("words_a"))
-    b = right.select(F.col("sid").alias("sid_b"), F.col("set_key").alias("set_b"), F.col("words").alias("words_b"))
+def verified(pairs: DataFrame, left: DataFrame, right: DataFrame, threshold: float, ids: Sequence[str] = ("sid",)) -> DataFrame:
+    """Candidates by ids (``<id>_a, <id>_b``) -> ``set_a, set_b, overlap`` with the exact word overlap at or above the
+    threshold. Sets that share an id are all checked, so a clash can't lose a pair."""
+    own = lambda sets, x: sets.select(*[F.col(c).alias(f"{c}_{x}") for c in ids], F.col("set_key").alias(f"set_{x}"), F.col("words").alias(f"words_{x}"))
 
     def batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
@@ -77,4 +82,5 @@ def verified(pairs: DataFrame, left: DataFrame, right: DataFrame, threshold: flo
             out = pdf[["set_a", "set_b"]].assign(overlap=score)
             yield out[score >= threshold - 1e-12]
 
-    return pairs.join(a, "sid_a").join(b, "sid_b").select("set_a", "set_b", "words_a", "words_b").mapInPandas(batches, "set_a binary, set_b binary, overlap double")
+    met = pairs.join(own(left, "a"), [f"{c}_a" for c in ids]).join(own(right, "b"), [f"{c}_b" for c in ids])
+    return met.select("set_a", "set_b", "words_a", "words_b").mapInPandas(batches, "set_a binary, set_b binary, overlap double")

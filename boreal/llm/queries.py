@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from boreal.llm import boilerplate, contamination, language, leakage, neardup, packing, pairs, splits, tokens
 from boreal.session import table
@@ -84,8 +83,7 @@ def p8_items(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_kept(spark: SparkSession, d: str) -> DataFrame:
-    kept = contamination.without_leaks(table(spark, d, "documents"), table(spark, d, "benchmark"))
-    return kept.groupBy("source").agg(F.count(F.lit(1)).alias("documents"))
+    return contamination.without_leaks(table(spark, d, "documents"), table(spark, d, "benchmark")).select("doc_id", "source")
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:

@@ -23,7 +23,7 @@ _LEAKS = f"""select distinct d.id as doc_id, b.id as item_id
 
 ORACLES = {
     "p8_found": _LEAKS,
-    "p8_kept": f"select source, count(*) as documents from documents where doc_id not in (select doc_id from ({_LEAKS})) group by source",
+    "p8_kept": f"select doc_id, source from documents where doc_id not in (select doc_id from ({_LEAKS}))",
     "p3_found": f"with recursive {_TIES} select distinct a as source_id_a, b as source_id_b from reach where a < b",
     "p4_found": f"""
 with sets as (select distinct record_id as id, {_WORDS.format(text='text')} as w from donnees_quebec_fixture_harvest where record_id is not null and text is not null),

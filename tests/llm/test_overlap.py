@@ -4,7 +4,7 @@ import numpy as np
 
 from boreal.llm import leakage, lexis, neardup
 from boreal.llm.bktree import Forest
-from boreal.llm.overlap import distinct_sets, word_sets
+from boreal.llm.overlap import distinct_sets, with_sketch, word_sets
 
 
 def brute(a, b, threshold=0.65, cross=False):
@@ -76,7 +76,7 @@ def test_hot_shards_are_split_without_loss(spark):
     rng = random.Random(9)
     base = [f"mot{i}" for i in range(80)]
     rows = [(f"r{i:03d}", " ".join(base + [f"x{rng.randrange(10**6)}"])) for i in range(120)]
-    sets = distinct_sets(word_sets(spark.createDataFrame(rows, "k string, t string"), "k", "t"))
+    sets = with_sketch(distinct_sets(word_sets(spark.createDataFrame(rows, "k string, t string"), "k", "t")))
     whole = {tuple(r) for r in neardup.candidate_pairs(sets).collect()}
     split = {tuple(r) for r in neardup.candidate_pairs(sets, block=16).collect()}
     assert whole == split
