@@ -512,3 +512,14 @@ x as (select source, """
 def content_hash_by_source(spark, d):
     own = _documents(spark, d).where("text is not null").withColumn("source", F.coalesce("source", F.lit("unknown")))
     return audit.content_hash(own, ["doc_id", "text"], ["source"])
+
+
+#: Sums widen in SQL; these columns keep the queries' types.
+SQL |= {q: S.typed(SQL[q], columns) for q, columns in {
+    "normalized_dedup_by_source": {"tokens": "bigint"},
+    "navigation_lines": {"navigation": "bigint"},
+    "catalogue_rollup": {"resources": "bigint"},
+    "readiness": {"row_tokens": "bigint"},
+    "readiness_by_source": {"row_tokens": "bigint"},
+    "text_measures": {"words": "int"},
+}.items()}

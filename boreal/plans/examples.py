@@ -424,3 +424,17 @@ def context_issues(spark, d):
     contrasts = spark.createDataFrame(_CONTRASTS, _CONTRAST_SCHEMA)
     forged = spark.createDataFrame([("x-1", 9, "lexique-1", "Une phrase inventée.", "Un email inventé."), ("x-2", 9, "inconnu", "a", "b")], "id string, lp_id int, contrast_id string, good string, bad string")
     return pairs.context_issues(pairs.expand(contrasts).unionByName(forged), contrasts)
+
+
+#: Sums widen in SQL; these columns keep the queries' types.
+SQL |= {q: S.typed(SQL[q], columns) for q, columns in {
+    "turns_by_role": {"chars": "bigint"},
+    "message_checks": {"well_formed": "bigint"},
+    "pack_counts": {"n": "bigint"},
+    "pack_report": {"tokens": "bigint", "commercial": "bigint"},
+    "pack_shares": {"n": "bigint"},
+    "eval_delta": {"base_score": "bigint", "adapter_score": "bigint", "delta": "bigint"},
+    "diagnostics": {"malformed": "bigint", "correct": "bigint", "blocking": "bigint", "non_blocking": "bigint"},
+    "trainer_text": {"chars": "int"},
+    "embedding_parse": {"size": "int"},
+}.items()}

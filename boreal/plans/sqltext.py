@@ -41,4 +41,10 @@ def sentences(x: str) -> str:
     return f"list_filter(string_split({marked}, chr(1)), lambda s: s <> '')"
 
 
+def typed(sql: str, columns: dict[str, str]) -> str:
+    """The same rows with columns cast to given types."""
+    casts = ", ".join(f"cast({c} as {t}) as {c}" for c, t in columns.items())
+    return f"select * replace ({casts}) from ({sql})"
+
+
 EXAMPLES = "(select 'train' as split, * from train union all by name select 'dev' as split, * from dev union all by name select 'test' as split, * from test)"
