@@ -39,11 +39,14 @@ def drop_score(seed: int, *keys: Column | str) -> Column:
     return sha(F.concat_ws(":", F.lit(str(seed)), *keys))
 
 
-def share_cap(df: DataFrame, key: str, cap: float | Mapping[str, float], rank: Sequence[Column | str], most_keys: int = 1_000_000) -> DataFrame:
-    """Rows under a cap on each key's share; a key's rows with the greatest rank go first.
-
-    Only the counts per key reach the driver; more than ``most_keys`` of them is refused with a ValueError. The rows
-    to drop are the top of each key, found by a window over the keys that lose any.
+def share_cap(df: DataFrame, key: str, cap: float | Mapping[str, float], rank: Sequence[str], most_keys: int = 1_000_000) -> DataFrame:
+    """Rows under a cap on each key's share; a key's rows with the greatest rank go first. ``rank`` begins with a
+    column of hexadecimal hashes.
+
+    Only the counts per key reach the driver; more than ``most_keys`` of them is refused with a ValueError. A key's
+    rows are told apart by the first three digits of their hash: whole buckets above the cut go, whole buckets
+    below it stay, and only the bucket the cut falls into is ordered, so a key that holds a third of all rows is
+    never sorted in one task.
     """
     name = F.coalesce(F.col(key).cast("string"), F.lit("unknown"))
     counted = df.groupBy(name.alias("key")).count().limit(most_keys + 1).collect()
@@ -53,9 +56,16 @@ def share_cap(df: DataFrame, key: str, cap: float | Mapping[str, float], rank: S
     if not drops:
         return df
     table = df.sparkSession.createDataFrame(list(drops.items()), "__key string, __drops bigint")
-    own = df.withColumn("__key", name).join(table, "__key", "left")
-    ranked = own.withColumn("__n", F.row_number().over(Window.partitionBy("__key").orderBy(*[F.desc(r) if isinstance(r, str) else r.desc() for r in rank])))
-    return ranked.where(F.col("__drops").isNull() | (F.col("__n") > F.col("__drops"))).drop("__key", "__drops", "__n")
+    own = df.withColumn("__key", name).withColumn("__bucket", F.substring(rank[0], 1, 3))
+    sizes = own.join(table, "__key").groupBy("__key", "__bucket", "__drops").count()
+    above = Window.partitionBy("__key").orderBy(F.desc("__bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    cuts = sizes.withColumn("__above", F.coalesce(F.sum("count").over(above), F.lit(0)))
+    cuts = cuts.select("__key", "__bucket", (F.col("__drops") - F.col("__above")).alias("__left"), "count")
+    placed = own.join(cuts, ["__key", "__bucket"], "left")  # keys without drops have no bucket here
+    whole = placed.where("__left is null or __left <= 0")
+    split = placed.where("__left > 0 and __left < count")
+    split = split.withColumn("__n", F.row_number().over(Window.partitionBy("__key", "__bucket").orderBy(*[F.desc(r) for r in rank]))).where("__n > __left")
+    return whole.select(*df.columns).union(split.select(*df.columns))
 
 
 def probable(key: Column | str, probability: float) -> Column:
