@@ -74,5 +74,9 @@ def written(df: DataFrame, name: str, partitions: int | None = None) -> DataFram
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of a data folder. One that comes in fewer splits than the cluster has cores (a small file of one row
+    group) is dealt out, for the work done on a row is far dearer than moving it; a large table never is."""
     ship(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
