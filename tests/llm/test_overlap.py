@@ -100,6 +100,18 @@ def test_leaks_match_brute_force(spark):
     assert leakage.leaked_pairs(a.limit(0), [b]).collect() == []
 
 
+def test_leaks_at_the_threshold_are_met(spark):
+    train, held = [], []
+    for i in range(600):  # 26 of 40 words in common: an overlap of 0.65
+        common = [f"m{i}x{k}" for k in range(26)]
+        train.append((f"t{i:03d}", chat(" ".join(common + [f"a{i}x{k}" for k in range(7)]))))
+        held.append((f"v{i:03d}", chat(" ".join(common + [f"b{i}x{k}" for k in range(7)]))))
+    a, b = (spark.createDataFrame(x, "example_id string, text string") for x in (train, held))
+    got = {tuple(r) for r in leakage.leaked_pairs(a, [b]).collect()}
+    assert got <= {(f"t{i:03d}", f"v{i:03d}") for i in range(600)}
+    assert len(got) >= 597
+
+
 def test_assistant_turns():
     assert leakage.assistant_turns(chat("oui")).strip() == "oui"
     assert leakage.assistant_turns("<|im_start|>assistant\nun<|im_end|><|im_start|>user\nx<|im_start|>assistant\ndeux").split() == ["un", "deux"]
