@@ -3,7 +3,8 @@
 Pages are gathered in blocks of bounded size: a host with many pages makes blocks of its own, the others share
 blocks by host. In a block all pages' words form one stream with a mark at each line end; its suffixes are sorted
 (by rank doubling, to the length that counts as long), and a substring found on several distinct pages covers the
-words it spans. A line mostly covered, or repeated as a whole, is furniture. What repeats though it is content
+words it spans. Where a host has several blocks, each sends hashes of its long substrings and lines with the number
+of their pages; the sums over the host's blocks take the place of the block's own counts. A line mostly covered, or repeated as a whole, is furniture. What repeats though it is content
 (speech openings, procedural notes, the title, the sitting date, headings of lists) and what is furniture though it
 does not repeat (teasers, rare navigation) is told by the lines around it.
 """
@@ -22,6 +23,7 @@ from boreal.llm.lexis import HASHES, fold
 from boreal.session import written
 
 BLOCK, LONG, COVERED = 800, 8, 0.7
+_LINE = np.uint64(0xA0761D6478BD642F)  # tells the hashes of lines from those of substrings
 
 _MONTHS = "janvier février mars avril mai juin juillet août septembre octobre novembre décembre"
 _TOKEN = re.compile(r"[^\W\d_]+|\d+|\n")
@@ -62,10 +64,22 @@ def _pages_of(rank: np.ndarray, page: np.ndarray) -> np.ndarray:
     return np.bincount(both // (int(page.max(initial=0)) + 1), minlength=int(rank.max(initial=0)) + 1)
 
 
+def _page_counts(key: np.ndarray, page: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order and on how many distinct pages each stands; pages come in ascending order."""
+    if not len(key):
+        return key, np.zeros(0, np.int64)
+    order = np.argsort(key, kind="stable")
+    key, page = key[order], page[order]
+    first = np.concatenate([[True], key[1:] != key[:-1]])
+    fresh = first | np.concatenate([[True], page[1:] != page[:-1]])
+    return key[first], np.add.reduceat(fresh.astype(np.int64), np.flatnonzero(first))
+
+
 class Block:
-    """The lines of a block's distinct pages and what repeats among them."""
+    """The lines of a block's distinct pages and what repeats among them, or among all of the host's pages where
+    ``known`` has the hashes of what repeats there."""
 
-    def __init__(self, texts: list[str], hosts: list[str | None]):
+    def __init__(self, texts: list[str], hosts: list[str | None], known: np.ndarray | None = None, count: bool = True):
         streams, page, line = [], [], []
         for i, (text, host) in enumerate(zip(texts, hosts, strict=True)):
             folded = fold(text)
@@ -80,7 +94,9 @@ class Block:
             page.append(np.full(int(keep.sum()) + 3, i))
         self.stream, self.page, self.line = np.concatenate(streams), np.concatenate(page), np.concatenate(line)
         self._lines()
-        self._repeats()
+        self._keys()
+        if count:
+            self._repeats(known)
 
     def _lines(self) -> None:
         """First and past-last word of every line that has words, its page and number."""
@@ -90,29 +106,63 @@ class Block:
         self.begin, self.end = begin, end
         self.of_page, self.number = self.page[begin], self.line[begin]
 
-    def _repeats(self) -> None:
-        rank = _ranks(self.stream, LONG)
-        spread = _pages_of(rank, self.page)[rank]
-        near = np.arange(len(rank)) + LONG <= len(rank)
-        long_ = (spread >= 3) & near
-        step = np.zeros(len(rank) + LONG + 1, np.int64)
-        step[: len(rank)] += long_
-        step[LONG : LONG + len(rank)] -= long_
-        covered = np.concatenate([[0], np.cumsum((np.cumsum(step)[: len(rank)] > 0) & (self.stream != 0))])
-        size = self.end - self.begin
-        share = (covered[self.end] - covered[self.begin]) / np.maximum(size, 1)
-        # A whole line is the substring between two line ends; its words' polynomial hash stands for it.
-        power = np.cumprod(np.full(int(size.max(initial=1)) + 1, 0x9E3779B97F4A7C15, np.uint64))
+    def _keys(self) -> None:
+        """A whole line is the substring between two line ends; its words' polynomial hash stands for it."""
+        self.size = self.end - self.begin
+        power = np.cumprod(np.full(int(self.size.max(initial=1)) + 1, 0x9E3779B97F4A7C15, np.uint64))
         place = self._place()
         mixed = self.stream.view(np.uint64) * np.uint64(0xFF51AFD7ED558CCD)
         mixed ^= mixed >> np.uint64(29)
         inside = place >= 0
         value = np.where(inside, mixed * power[np.where(inside, place, 0)], np.uint64(0))
         total = np.concatenate([[np.uint64(0)], np.cumsum(value)])
-        key = total[self.end] - total[self.begin] + size.astype(np.uint64)
-        self.kind = np.unique(key, return_inverse=True)[1].astype(np.int64)
-        whole = _pages_of(self.kind, self.of_page)[self.kind] if len(key) else np.zeros(0, np.int64)
-        self.repeats = (share >= COVERED) | (whole >= np.where(size >= 6, 3, 2))
+        self.mixed, self.key = mixed, total[self.end] - total[self.begin] + self.size.astype(np.uint64)
+        self.kind = np.unique(self.key, return_inverse=True)[1].astype(np.int64)
+
+    def _grams(self) -> tuple[np.ndarray, np.ndarray]:
+        """Where a long substring within one page begins, and its hash."""
+        n = len(self.stream) - LONG + 1
+        if n <= 0:
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        last = np.concatenate([[0], np.cumsum(np.concatenate([self.page[1:] != self.page[:-1], [True]]))])
+        at = np.flatnonzero(last[LONG:] == last[:n])
+        value = np.zeros(n, np.uint64)
+        for k in range(LONG):
+            value = value * np.uint64(0x9E3779B97F4A7C15) + self.mixed[k : k + n]
+        value ^= value >> np.uint64(31)
+        return at, value[at]
+
+    def counts(self, seen: dict[int, int], led: dict[int, int]) -> pd.DataFrame:
+        """``hash, pages, need`` of long substrings and lines: on how many distinct pages of the block each stands, and
+        on how many of the host's it counts as repeated; for lines also how often they were seen and led points."""
+        at, value = self._grams()
+        gram, pages = _page_counts(value, self.page[at])
+        key, whole = _page_counts(self.key, self.of_page)
+        size = np.zeros(len(key), np.int64)
+        size[self.kind] = self.size
+        none = np.zeros(len(gram), np.int64)
+        tell = lambda d: np.concatenate([none, np.array([d.get(k, 0) for k in range(len(key))], np.int64)])
+        need = np.concatenate([none + 3, np.where(size >= 6, 3, 2)])
+        return pd.DataFrame({"hash": np.concatenate([gram, key ^ _LINE]), "pages": np.concatenate([pages, whole]), "need": need, "seen": tell(seen), "led": tell(led)})
+
+    def _repeats(self, known: np.ndarray | None) -> None:
+        length = len(self.stream)
+        if known is None:
+            rank = _ranks(self.stream, LONG)
+            long_ = (_pages_of(rank, self.page)[rank] >= 3) & (np.arange(length) + LONG <= length)
+            whole = _pages_of(self.kind, self.of_page)[self.kind] if len(self.key) else np.zeros(0, np.int64)
+            repeated = whole >= np.where(self.size >= 6, 3, 2)
+        else:
+            at, value = self._grams()
+            long_ = np.zeros(length, bool)
+            long_[at[np.isin(value, known)]] = True
+            repeated = np.isin(self.key ^ _LINE, known)
+        step = np.zeros(length + LONG + 1, np.int64)
+        step[:length] += long_
+        step[LONG : LONG + length] -= long_
+        covered = np.concatenate([[0], np.cumsum((np.cumsum(step)[:length] > 0) & (self.stream != 0))])
+        share = (covered[self.end] - covered[self.begin]) / np.maximum(self.size, 1)
+        self.repeats = (share >= COVERED) | repeated
 
     def _place(self) -> np.ndarray:
         place = np.full(len(self.stream), -1, np.int64)
@@ -215,17 +265,8 @@ def _alone(lines: list[str], repeats: list[bool], at: list[int], k: int, full) -
         return _MAIN if j >= 0 and i == at[k] and _BULLET.match(lines[j]) and len(lines[i].split()) <= 6 else _FURNITURE
 
 
-def label_block(pdf: pd.DataFrame) -> Iterator[tuple[int, list[str], list[int]]]:
-    """Row number, lines and labels of each page of a block (columns text, host, title, date)."""
-    order: dict[tuple, int] = {}
-    mine = [order.setdefault((t, h), len(order)) for t, h in zip(pdf["text"], pdf["host"], strict=True)]
-    keys = list(order)
-    block = Block([t for t, _ in keys], [h for _, h in keys])
-    lines = [[x.strip() for x in t.split("\n")] for t, _ in keys]
-    repeats = [[False] * len(x) for x in lines]
-    kind = [[-1] * len(x) for x in lines]
-    for p, n, r, k in zip(block.of_page.tolist(), block.number.tolist(), block.repeats.tolist(), block.kind.tolist(), strict=True):
-        repeats[p][n], kind[p][n] = r, k
+def _leads(lines: list[list[str]], kind: list[list[int]]) -> tuple[dict[int, int], dict[int, int]]:
+    """How often a short line of each kind has a line after it, and how often that is a point of a list."""
     led, seen = {}, {}
     for x, ks in zip(lines, kind, strict=True):
         at = [i for i, s in enumerate(x) if s]
@@ -234,9 +275,42 @@ def label_block(pdf: pd.DataFrame) -> Iterator[tuple[int, list[str], list[int]]]
                 seen[ks[i]] = seen.get(ks[i], 0) + 1
                 if _BULLET.match(x[j]) and not _BULLET.match(x[i]):
                     led[ks[i]] = led.get(ks[i], 0) + 1
-    heading = {k for k, n in led.items() if n >= 0.15 * seen[k]}
-    for i, (p, title, date) in enumerate(zip(mine, pdf["title"], pdf["date"], strict=True)):
-        yield i, lines[p], label_lines(lines[p], repeats[p], [k in heading for k in kind[p]], title, date)
+    return seen, led
+
+
+def _by_line(block: Block, lines: list[list[str]], value: np.ndarray, fill) -> list[list]:
+    out = [[fill] * len(x) for x in lines]
+    for p, n, v in zip(block.of_page.tolist(), block.number.tolist(), value.tolist(), strict=True):
+        out[p][n] = v
+    return out
+
+
+def count_block(pdf: pd.DataFrame) -> pd.DataFrame:
+    """What a block of a host with several of them has to tell the others (see Block.counts)."""
+    block = Block(pdf["text"].tolist(), pdf["host"].tolist(), count=False)
+    lines = [[x.strip() for x in t.split("\n")] for t in pdf["text"]]
+    return block.counts(*_leads(lines, _by_line(block, lines, block.kind, -1)))
+
+
+def label_block(pdf: pd.DataFrame, known: np.ndarray | None = None, heads: np.ndarray | None = None) -> Iterator[tuple[str, list[str], list[int]]]:
+    """Key, lines and labels of each delivery of a block's distinct pages (columns text, host and the deliveries' key,
+    title and date). ``known`` and ``heads``: what repeats and what leads points among all pages of the host."""
+    block = Block(pdf["text"].tolist(), pdf["host"].tolist(), known)
+    lines = [[x.strip() for x in t.split("\n")] for t in pdf["text"]]
+    repeats, kind = _by_line(block, lines, block.repeats, False), _by_line(block, lines, block.kind, -1)
+    if heads is None:
+        seen, led = _leads(lines, kind)
+        heading = {k for k, n in led.items() if n >= 0.15 * seen[k]}
+    else:
+        heading = set(block.kind[np.isin(block.key ^ _LINE, heads)].tolist())
+    for p, deliveries in enumerate(pdf["deliveries"]):
+        led_by = [k in heading for k in kind[p]]
+        labels: dict[tuple, list[int]] = {}
+        for d in deliveries:
+            told = (d["title"], d["date"])
+            if told not in labels:
+                labels[told] = label_lines(lines[p], repeats[p], led_by, *told)
+            yield d["key"], lines[p], labels[told]
 
 
 def _blocks(pages: DataFrame, key: str, text: str, url: str) -> DataFrame:
@@ -246,10 +320,59 @@ def _blocks(pages: DataFrame, key: str, text: str, url: str) -> DataFrame:
     counts = written(own.groupBy("host").count(), "hosts")
     small = counts.where(F.col("count") < BLOCK).agg(F.sum("count")).first()[0] or 0
     pools = max(1, -(-small // BLOCK))
-    large = counts.where(F.col("count") >= BLOCK).select(F.coalesce("host", F.lit("")).alias("site"), F.ceil(F.col("count") / BLOCK).alias("parts"))
+    large = counts.where(F.col("count") >= BLOCK).select(F.coalesce("host", F.lit("")).alias("site"), F.ceil(F.col("count") / BLOCK).cast("int").alias("parts"))
     own = own.withColumn("site", F.coalesce("host", F.lit(""))).join(large, "site", "left")
-    in_large = F.xxhash64("site", F.pmod(F.xxhash64("key"), F.col("parts")))
-    return own.withColumn("block", F.when(F.col("parts").isNotNull(), in_large).otherwise(F.pmod(F.xxhash64("site", F.lit(3)), F.lit(pools)))).drop("site", "parts")
+    # Copies of a text come to one block, as a page counts once among all pages of its host.
+    in_large = F.xxhash64("site", F.pmod(F.xxhash64("text"), F.col("parts")))
+    own = own.withColumn("block", F.when(F.col("parts").isNotNull(), in_large).otherwise(F.pmod(F.xxhash64("site", F.lit(3)), F.lit(pools))))
+    deliveries = F.collect_set(F.struct("key", "title", "date")).alias("deliveries")
+    return own.repartition("block").groupBy("block", "site", "host", "parts", "text").agg(deliveries)
+
+
+def _split(block: int, site: str, parts: int, told: pd.DataFrame) -> pd.DataFrame:
+    """The counts of a block as one packed row for each of the ``parts`` places where a host's counts are summed."""
+    told = told.assign(place=(told["hash"].to_numpy() % np.uint64(parts)).astype(np.int64)).sort_values("place", kind="stable")
+    rows = [(site, int(p), block, *[g[c].to_numpy().astype(t).tobytes() for c, t in _PACKED.items()]) for p, g in told.groupby("place")]
+    return pd.DataFrame(rows, columns=["site", "place", "block", *_PACKED])
+
+
+_PACKED = {"hash": np.uint64, "pages": np.uint32, "need": np.uint8, "seen": np.uint32, "led": np.uint32}
+
+
+def _sum(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Sums the counts of a place over a host's blocks and tells each block what of its own repeats or leads points."""
+    hash_, pages, need, seen, led = ([np.frombuffer(x, t) for x in pdf[c]] for c, t in _PACKED.items())
+    owner = np.repeat(np.arange(len(pdf)), [len(x) for x in hash_])
+    kind = np.unique(np.concatenate(hash_), return_inverse=True)[1]
+    total = lambda xs: np.bincount(kind, np.concatenate(xs))[kind]
+    hash_, often = np.concatenate(hash_), total(pages) >= np.concatenate(need)
+    points = total(led)
+    leads = (points > 0) & (points >= 0.15 * total(seen))
+    cut = lambda keep: [x.tobytes() for x in np.split(hash_[keep], np.searchsorted(owner[keep], np.arange(1, len(pdf))))]
+    return pd.DataFrame({"block": pdf["block"], "known": cut(often), "heads": cut(leads)})
+
+
+def _labelled(pages: DataFrame, label, schema: str) -> DataFrame:
+    """``label(pages of a block, known, heads)`` of all blocks; see label_block."""
+
+    def told(pdf: pd.DataFrame) -> pd.DataFrame:
+        site, parts = pdf["site"].iat[0], pdf["parts"].iat[0]
+        if pd.isna(parts) or parts < 2:
+            return pd.DataFrame([], columns=["site", "place", "block", *_PACKED])
+        return _split(int(pdf["block"].iat[0]), site, int(parts), count_block(pdf))
+
+    def both(pdf: pd.DataFrame, back: pd.DataFrame) -> pd.DataFrame:
+        if not len(pdf):
+            return label(pdf, None, None)
+        parts = pdf["parts"].iat[0]
+        if pd.isna(parts) or parts < 2:
+            return label(pdf, None, None)
+        return label(pdf, *[np.frombuffer(b"".join(back[c]), np.uint64) for c in ("known", "heads")])
+
+    packed = ", ".join(f"{c} binary" for c in _PACKED)
+    counts = pages.groupBy("block").applyInPandas(told, f"site string, place int, block bigint, {packed}")
+    back = counts.groupBy("site", "place").applyInPandas(_sum, "block bigint, known binary, heads binary")
+    return pages.groupBy("block").cogroup(back.groupBy("block")).applyInPandas(both, schema)
 
 
 def furniture_lines(pages: DataFrame, key: str = "record_id", text: str = "text", url: str = "source_url") -> DataFrame:
@@ -258,16 +381,16 @@ def furniture_lines(pages: DataFrame, key: str = "record_id", text: str = "text"
     one host; a null title or date is told from the lines; repeated deliveries count once and come out once; an
     empty table gives no rows; other columns are ignored."""
 
-    def label(pdf: pd.DataFrame) -> pd.DataFrame:
+    def label(pdf: pd.DataFrame, known: np.ndarray | None, heads: np.ndarray | None) -> pd.DataFrame:
         keys, numbers = [], []
-        for i, _, labels in label_block(pdf):
+        for k, _, labels in label_block(pdf, known, heads) if len(pdf) else ():
             hit = [n for n, x in enumerate(labels) if x]
-            keys += [pdf["key"].iat[i]] * len(hit)
+            keys += [k] * len(hit)
             numbers += hit
         return pd.DataFrame({"record_id": pd.Series(keys, dtype="object"), "line_no": np.array(numbers, np.int32)})
 
     kind = pages.schema[key].dataType.simpleString()
-    found = _blocks(pages, key, text, url).groupBy("block").applyInPandas(label, f"record_id {kind}, line_no int")
+    found = _labelled(_blocks(pages, key, text, url), label, f"record_id {kind}, line_no int")
     return found.distinct().withColumnRenamed("record_id", key)
 
 
@@ -275,13 +398,13 @@ def main_content(pages: DataFrame, key: str = "record_id", text: str = "text", u
     """``record_id, text``: the main body of each page; lines of furniture are gone, runs of blank lines are one.
     Repeated deliveries come out once; see furniture_lines for the rest."""
 
-    def clean(pdf: pd.DataFrame) -> pd.DataFrame:
+    def clean(pdf: pd.DataFrame, known: np.ndarray | None, heads: np.ndarray | None) -> pd.DataFrame:
         out = {}
-        for i, lines, labels in label_block(pdf):
+        for k, lines, labels in label_block(pdf, known, heads) if len(pdf) else ():
             body = "\n".join(x for x, f in zip(lines, labels, strict=True) if not f)
-            out[(pdf["key"].iat[i], re.sub(r"\n{3,}", "\n\n", body).strip())] = None
+            out[(k, re.sub(r"\n{3,}", "\n\n", body).strip())] = None
         return pd.DataFrame(list(out), columns=["record_id", "text"])
 
     kind = pages.schema[key].dataType.simpleString()
-    cleaned = _blocks(pages, key, text, url).groupBy("block").applyInPandas(clean, f"record_id {kind}, text string")
+    cleaned = _labelled(_blocks(pages, key, text, url), clean, f"record_id {kind}, text string")
     return cleaned.distinct().withColumnRenamed("record_id", key)

@@ -99,6 +99,25 @@ def test_repeats_agree_with_counting_all_substrings():
     assert block.repeats.tolist() == want
 
 
+def test_what_repeats_on_a_host_is_summed_over_its_blocks(spark, monkeypatch):
+    monkeypatch.setattr(boilerplate, "BLOCK", 20)
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("bcdfglmnprstv") + rng.choice("aeiou") for _ in range(4))
+    sentence = lambda k: " ".join(word() for _ in range(k)).capitalize() + "."
+    notice = "Les témoins de ce site servent à mesurer la fréquentation des pages publiques."
+    rows, want = [], set()
+    for i in range(400):
+        lines = [f"Mme {word().capitalize()} : {sentence(12)}", "", sentence(14)]
+        if i % 50 == 7:  # eight of 400 pages, in about as many of the 20 blocks
+            lines += ["", notice]
+            want.add((f"r{i}", 4))
+        rows.append((f"r{i}", "\n".join(lines), f"https://un.example/{i}", None, None))
+    rows += [(f"copie{k}", rows[0][1], "https://un.example/c", None, None) for k in range(30)]  # one page, however often
+    df = spark.createDataFrame(rows, "record_id string, text string, source_url string, title string, date string")
+    assert {tuple(r) for r in boilerplate.furniture_lines(df).collect()} == want
+    assert notice not in "".join(r["text"] for r in boilerplate.main_content(df).collect())
+
+
 def test_wrapped_sentences_follow_their_beginning():
     lines = ["Mme Lala : Le conseil a décidé que la ville garderait le", "parc de Saint-Bonnet pendant tout le reste de l'année de", "Beaulieu 12 fois au nom du conseil.", "Publicité"]
     label = boilerplate.label_lines(lines, [False, False, True, True], [False] * 4, None, None)
