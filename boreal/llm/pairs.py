@@ -21,7 +21,7 @@ from boreal.llm import language, lexis
 from boreal.llm.components import hash_to_min
 from boreal.session import written
 
-ROWS, BANDS, SHINGLE, SIMILAR, UNRELATED = 4, 32, 5, 0.8, 3
+ROWS, BANDS, SHINGLE, SIMILAR, UNRELATED, PART = 4, 32, 5, 0.8, 3, 256
 
 _MARKER = re.compile(r"<\|[^|<>]*\|>|\[/?INST\]|</?s>|<<?/?SYS>>?")
 _QUOTED = re.compile(r"«[^«»]*»|“[^“”]*”|„[^„“”]*[“”]|\"[^\"]*\"")
@@ -151,10 +151,13 @@ def _templates(openings: DataFrame) -> DataFrame:
             yield pd.DataFrame({"opening": pdf["opening"], "shingles": sets, "bands": list(bands)})
 
     sets = written(openings.select("opening").mapInPandas(shingles, "opening string, shingles array<bigint>, bands array<bigint>"), "openings")
-    side = lambda k: sets.select(F.col("opening").alias(k), F.explode("bands").alias("band"))
-    # Openings of one band all meet its least opening; similar ones then share a component through it or another.
-    least = side("o").groupBy("band").agg(F.min("o").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    met = side("b").join(least, "band").where("a <> b").select("a", "b").distinct()
+    member = sets.select("opening", F.explode("bands").alias("band"))
+    # All openings of a band meet each other. A large band is cut into parts, and the openings of a part meet those of every part up to it.
+    parts = member.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    member = member.join(parts, "band").withColumn("part", F.pmod(F.xxhash64("opening"), F.col("parts")).cast("int"))
+    asks = member.select("band", F.col("part").alias("own"), F.col("opening").alias("b"), F.explode(F.sequence(F.lit(0), "part")).alias("part"))
+    met = asks.join(member.select("band", "part", F.col("opening").alias("a")), ["band", "part"]).where("part < own or a < b")
+    met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
     def check(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:

@@ -45,3 +45,13 @@ def test_nothing_and_missing_prompts(spark):
     assert {tuple(r) for r in pairs.broken_pairs(gens, asked).collect()} == {(None, None, "base", "empty"), (None, None, "adapter", "empty")}
     assert pairs.broken_pairs(gens.limit(0), asked).collect() == []
     assert pairs.defect_counts(pairs.broken_pairs(gens, asked)).count() == 2
+
+
+def test_alike_openings_share_a_template_whatever_their_bands_hold(spark):
+    ws = [f"m{i:02d}" for i in range(40)]
+    b, c = " ".join([*ws, "fin"]), " ".join([*ws, "bout"])
+    unlike = [" ".join([*ws[:i], "aaa", *ws[i + 1 :], "fin"]) for i in range(4, 36)]  # each under 0.8, and before b and c in order
+    openings = spark.createDataFrame([(x,) for x in [b, c, *unlike]], "opening string")
+    got = {r["opening"]: r["template"] for r in pairs._templates(openings).collect()}
+    assert got[b] == got[c]
+    assert len(set(got.values())) == len(unlike) + 1
