@@ -25,6 +25,7 @@ ROWS, BANDS, SHINGLE, SIMILAR, UNRELATED, PART = 4, 32, 5, 0.8, 3, 256
 
 _MARKER = re.compile(r"<\|[^|<>]*\|>|\[/?INST\]|</?s>|<<?/?SYS>>?")
 _QUOTED = re.compile(r"«[^«»]*»|“[^“”]*”|„[^„“”]*[“”]|\"[^\"]*\"")
+_SENTENCE = re.compile(r"(?<=[.!?…])\s+")
 _CLOSERS = " \t\r\n\xa0»”“\"')]*_"
 #: How one declines, in the first person or in the name of rules. Fixed phrases.
 _DECLINES = re.compile(
@@ -125,10 +126,14 @@ def _feature_rows(pdf: pd.DataFrame, profiles: language.Profiles) -> pd.DataFram
             kind = "other_language"
         else:
             first = opening(text)
+            if first.count(" ") < 3:
+                first = first and " ".join(ws)  # a short one tells too little alone
             padded = f" {first} "
             if any(f" {t} " in padded for t in own):
                 first = ""  # it answers: it names what the prompt is about
-            cue = bool(first) and bool(_DECLINES.search(" ".join(words_of(_QUOTED.sub(" ", text.split("\n")[0])))))
+            line = _QUOTED.sub(" ", text.split("\n")[0])
+            # One that names the prompt's term or has no first sentence declines within a sentence, if at all.
+            cue = any(_DECLINES.search(" ".join(words_of(x))) for x in [*([line] if first else []), *_SENTENCE.split(line)])
             if truncated(text, own):
                 kind = "truncated"
         out.append((kind, first, cue))
@@ -193,13 +198,13 @@ def broken_pairs(generations: DataFrame, prompts: DataFrame, sides: tuple[str, .
 
     schema = "run_id string, prompt_id string, topic string, side string, kind string, opening string, cue boolean"
     read = written(rows.select("run_id", "prompt_id", "topic", "side", "prompt", "response", "terms").mapInPandas(batches, schema), "responses")
-    candidates = read.where("opening <> '' and size(split(opening, ' ')) >= 4")
+    candidates = read.where("opening <> ''")
     templates = written(_templates(candidates.select("opening").distinct()), "templates")
     spread = candidates.join(templates, "opening").groupBy("template").agg(F.countDistinct("topic").alias("topics"), F.max("cue").alias("cue"))
     recurring = spread.where(F.col("cue") | (F.col("topics") >= UNRELATED)).select("template")
     refusing = templates.join(recurring, "template", "left_semi").select("opening", F.lit(True).alias("refuses"))
     judged = read.join(refusing, "opening", "left")
-    defect = F.when(F.col("kind").isin("empty", "copy", "other_language"), F.col("kind")).when(F.col("refuses"), "refusal").otherwise(F.col("kind"))
+    defect = F.when(F.col("kind").isin("empty", "copy", "other_language"), F.col("kind")).when(F.col("refuses") | F.col("cue"), "refusal").otherwise(F.col("kind"))
     return judged.select("run_id", "prompt_id", "side", defect.alias("defect")).where("defect is not null").distinct()
 
 

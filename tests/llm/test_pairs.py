@@ -55,3 +55,12 @@ def test_alike_openings_share_a_template_whatever_their_bands_hold(spark):
     got = {r["opening"]: r["template"] for r in pairs._templates(openings).collect()}
     assert got[b] == got[c]
     assert len(set(got.values())) == len(unlike) + 1
+
+
+def test_short_refusals_and_those_that_name_the_term(spark):
+    cases = [
+        ("Je refuse.", "refusal"), ("Je m'abstiens.", "refusal"), ("Désolé. Je ne peux pas répondre.", "refusal"),
+        ("Je ne peux pas répondre à cette question", "refusal"), ("Je ne peux pas répondre à la question sur « traversier » ou traversier.", "refusal"),
+        ("Oui. On retient « traversier ».", None), ("Je ne peux pas venir, mais le traversier sera prêt. Ma demande de mars est là.", None),
+    ]
+    assert run(spark, [r for r, _ in cases]) == [k for _, k in cases]
