@@ -8,13 +8,13 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boreal.llm.overlap import distinct_sets, postings, verified, with_sketch, word_sets
+from boreal.llm.overlap import Seen, crowded, dealt_join, distinct_sets, postings, prefixes, verified, with_sketch, word_ranks, word_sets
 from boreal.llm.splits import plain
 from boreal.session import written
 
 #: Of the 128 bits of a sketch, two sets with an overlap of 0.65 differ in 22.4 on average, with a deviation of 4.3.
 #: They share one of the 64 bands with a probability of 0.9996 (0.99999 from 0.7 on).
-ROWS, BANDS, RADIUS = 5, 64, 40
+ROWS, BANDS, RADIUS, BLOCK = 5, 64, 40, 2048
 _TURN = re.compile(r"<\|im_start\|>\s*assistant\b(.*?)(?:<\|im_end\|>|(?=<\|im_start\|>)|\Z)", re.S | re.I)
 
 
@@ -23,17 +23,43 @@ def assistant_turns(text: str) -> str:
     return "\n".join(_TURN.findall(text))
 
 
+def _near(met: DataFrame, radius: int) -> DataFrame:
+    apart = lambda c: F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b")))
+    return met.where(apart("s1") + apart("s2") <= radius).select("s1_a", "s2_a", "s1_b", "s2_b")
+
+
+def _named(posts: DataFrame, x: str) -> DataFrame:
+    return posts.withColumnsRenamed({c: f"{c}_{x}" for c in posts.columns if c != "shard"})
+
+
+def candidates(train: DataFrame, held: DataFrame, threshold: float = 0.65, block: int = BLOCK) -> DataFrame:
+    """Distinct ``s1_a, s2_a, s1_b, s2_b``, the sketches of sets of both sides that meet in a band and lie within the
+    radius. A train set posts only the bands the held-out side may have (see Seen), so of the far larger side little
+    is moved. Sets of a band with more than ``block`` postings leave the bands: they are joined by their rarest words
+    instead, which finds every pair of them at the threshold (see prefixes) and compares few others."""
+    context = train.sparkSession.sparkContext
+    b = written(postings(held, ROWS, BANDS, ("s1", "s2")), "held-bands")
+    seen = Seen.of(b, "shard", b.count())
+    a = written(postings(train, ROWS, BANDS, ("s1", "s2"), seen and context.broadcast(seen)), "train-bands")
+    hot = written(crowded(a.select("shard").union(b.select("shard")), block), "hot")
+    if hot.isEmpty():
+        return _near(_named(a, "a").join(_named(b, "b").hint("merge"), "shard"), RADIUS).distinct()
+    cold = _named(a.join(hot, "shard", "left_anti"), "a").join(_named(b.join(hot, "shard", "left_anti"), "b").hint("merge"), "shard")
+    crowd = [s.join(p.join(hot, "shard", "left_semi").select("s1", "s2").distinct(), ["s1", "s2"], "left_semi") for s, p in ((train, a), (held, b))]
+    crowd = [written(c, "crowd") for c in crowd]
+    ranks = context.broadcast(word_ranks(crowd[0].select("words").union(crowd[1].select("words"))))
+    rare = [_named(prefixes(c, ranks, threshold, ("s1", "s2", "n")), x) for c, x in zip(crowd, "ab", strict=True)]
+    met = dealt_join(*rare, block=block).where(F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * (threshold - 1e-9))
+    return _near(cold, RADIUS).union(_near(met, RADIUS)).distinct()
+
+
 def cross_pairs(train: DataFrame, held: DataFrame, key: str, text: str, threshold: float = 0.65) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(train members, held members, pairs of sets)``; only bands met by both sides make candidates, so the far
     larger training side is never joined with itself. Equal sets are candidates by their key."""
     sides = [written(word_sets(t, key, text, assistant_turns), name) for t, name in ((train, "train-sets"), (held, "held-sets"))]
     one = [written(with_sketch(distinct_sets(s)), "distinct-sets") for s in sides]
-    # A posting is a band and the sketch, which stands for its sets until the few pairs left are checked.
-    a, b = (postings(s, ROWS, BANDS, ("s1", "s2")).withColumnsRenamed({"s1": f"s1_{x}", "s2": f"s2_{x}"}) for s, x in zip(one, "ab", strict=True))
-    apart = lambda c: F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b")))
-    met = a.join(b, "shard").where(apart("s1") + apart("s2") <= RADIUS).select("s1_a", "s2_a", "s1_b", "s2_b").distinct()
     members = [written(s.select("key", "set_key").distinct(), "members") for s in sides]
-    return members[0], members[1], verified(met, one[0], one[1], threshold, ("s1", "s2"))
+    return members[0], members[1], verified(candidates(*one, threshold), one[0], one[1], threshold, ("s1", "s2"))
 
 
 def leaked_pairs(train: DataFrame, held: list[DataFrame], key: str = "example_id", text: str = "text", threshold: float = 0.65) -> DataFrame:

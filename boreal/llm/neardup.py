@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from boreal.llm.bktree import Forest
 from boreal.llm.components import hash_to_min
-from boreal.llm.overlap import distinct_sets, postings, verified, with_sketch, word_sets
+from boreal.llm.overlap import crowded, distinct_sets, postings, prefixes, verified, with_sketch, word_ranks, word_sets
 from boreal.session import written
 
 #: Of the 128 bits of a sketch, two sets with an overlap of 0.65 differ in 22.4 on average, with a deviation of 4.3.
@@ -56,19 +56,29 @@ def _search(routed: DataFrame, radius: int) -> DataFrame:
     return routed.mapInPandas(batches, "sid_a bigint, sid_b bigint")
 
 
-def candidate_pairs(sets: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
+def candidate_pairs(sets: DataFrame, radius: int = RADIUS, block: int = BLOCK, threshold: float = 0.65) -> DataFrame:
     """Distinct ``sid_a < sid_b`` that meet in a shard with sketches within the radius.
 
-    A shard of up to ``block`` sets is one BK-tree searched by its own members. A larger one is split: each set
-    joins one of its ceil(n / block) trees and asks all of them up to its own, so no task holds more than a
-    block of members and nothing is dropped.
+    A shard is the sets of a MinHash band: one BK-tree searched by its own members. Sets of a band with more than
+    ``block`` members leave the bands for shards of a rare word each: any two of them with an overlap of at least
+    the threshold have one of their rarest words in common (see prefixes), and few others do. Where a rare word's
+    shard is beyond ``block`` too, it is cut into trees of that size, and each set asks all up to its own, so no
+    task holds more than a block of members and nothing is dropped.
     """
-    hot = postings(sets, ROWS, BANDS).groupBy("shard").count().where(F.col("count") > block).select("shard", F.ceil(F.col("count") / block).cast("int").alias("blocks"))
-    sent = postings(sets, ROWS, BANDS, ("sid", "s1", "s2")).join(written(hot, "hot"), "shard", "left")
-    own = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
-    whole = F.array(F.struct(F.lit(0).alias("block"), F.lit(True).alias("member"), F.lit(True).alias("asks")))
-    split = F.transform(F.sequence(F.lit(0), own), lambda x: F.struct(x.alias("block"), (x == own).alias("member"), F.lit(True).alias("asks")))
-    routed = sent.select("shard", "sid", "s1", "s2", F.inline(F.when(F.col("blocks").isNull(), whole).otherwise(split)))
+    carry = ("sid", "s1", "s2")
+    bands = lambda more=(): postings(sets, ROWS, BANDS, more)
+    hot = written(crowded(bands(), block), "hot")
+    whole = (F.lit(0).alias("block"), F.lit(True).alias("member"), F.lit(True).alias("asks"))
+    routed = bands(carry).select("shard", *carry, *whole)
+    if not hot.isEmpty():
+        crowd = written(sets.join(bands(("sid",)).join(hot, "shard", "left_semi").select("sid").distinct(), "sid", "left_semi"), "crowd")
+        ranks = sets.sparkSession.sparkContext.broadcast(word_ranks(crowd))
+        sent = prefixes(crowd, ranks, threshold, carry)
+        parts = sent.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks")).where("blocks > 1")
+        own = F.pmod(F.xxhash64("sid"), F.coalesce("blocks", F.lit(1))).cast("int")
+        asked = F.transform(F.sequence(F.lit(0), own), lambda x: F.struct(x.alias("block"), (x == own).alias("member"), F.lit(True).alias("asks")))
+        rare = sent.join(written(parts, "parts"), "shard", "left").select("shard", *carry, F.inline(asked))
+        routed = routed.join(hot, "shard", "left_anti").union(rare)
     routed = routed.repartition("shard", "block").sortWithinPartitions("shard", "block")
     return _search(routed, radius).distinct()
 
@@ -78,7 +88,7 @@ def near_pairs(rows: DataFrame, key: str, text: str, threshold: float = 0.65) ->
     sets = written(word_sets(rows, key, text), "sets")
     members = sets.select("key", "set_key").distinct()
     one = written(with_sketch(distinct_sets(sets)), "distinct-sets")
-    return members, verified(candidate_pairs(one), one, one, threshold)
+    return members, verified(candidate_pairs(one, threshold=threshold), one, one, threshold)
 
 
 def near_duplicate_pairs(rows: DataFrame, key: str = "record_id", text: str = "text", threshold: float = 0.65) -> DataFrame:

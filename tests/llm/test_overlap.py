@@ -1,10 +1,11 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from boreal.llm import leakage, lexis, neardup
 from boreal.llm.bktree import Forest
-from boreal.llm.overlap import distinct_sets, with_sketch, word_sets
+from boreal.llm.overlap import Seen, distinct_sets, verified, with_sketch, word_sets
 
 
 def brute(a, b, threshold=0.65, cross=False):
@@ -72,6 +73,18 @@ def test_groups_follow_the_pairs(spark):
     assert all(groups[k] == k for k in groups if k not in tied)
 
 
+def crowd(n, seed=9):
+    """Texts of one band (all share its words) that are unlike otherwise, some pairs excepted."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        own = [f"x{rng.randrange(10**9)}" for _ in range(50)]
+        rows.append((f"r{i:06d}", " ".join([f"mot{k}" for k in range(30)] + own)))
+        if i % 100 == 0:
+            rows.append((f"s{i:06d}", " ".join([f"mot{k}" for k in range(30)] + own[:45] + [f"y{i}"])))
+    return rows
+
+
 def test_hot_shards_are_split_without_loss(spark):
     rng = random.Random(9)
     base = [f"mot{i}" for i in range(80)]
@@ -83,6 +96,30 @@ def test_hot_shards_are_split_without_loss(spark):
     assert len(whole) == 120 * 119 // 2
 
 
+def test_a_crowded_band_of_unlike_sets_is_told_apart_by_rare_words(spark):
+    rows = crowd(2000)
+    df = spark.createDataFrame(rows, "record_id string, text string").withColumn("example_id", F.col("record_id"))
+    want = {(f"r{i:06d}", f"s{i:06d}") for i in range(0, 2000, 100)}
+    sets = with_sketch(distinct_sets(word_sets(df, "record_id", "text"))).cache()
+    name = {r["sid"]: r["key"] for r in word_sets(df, "record_id", "text").collect()}
+    for block in (64, 4096):
+        pairs = neardup.candidate_pairs(sets, block=block)
+        assert want <= {tuple(sorted((name[a], name[b]))) for a, b in pairs.collect()}
+    found = leakage.candidates(sets, sets, block=64)
+    full = verified(found, sets, sets, 0.65, ("s1", "s2")).where("set_a <> set_b")
+    assert full.count() == 2 * len(want)
+
+
+def test_seen_forgets_no_key(spark):
+    keys = spark.range(50_000).select(F.xxhash64("id").alias("k"))
+    seen = Seen.of(keys, "k", 50_000)
+    mine = np.array([r["k"] for r in keys.collect()], np.int64)
+    assert seen.has(mine).all()
+    assert seen.has(np.random.default_rng(3).integers(-(1 << 62), 1 << 62, 20_000)).mean() < 0.08
+    assert Seen.of(keys, "k", Seen.MOST + 1) is None
+    assert not Seen.of(keys.limit(0), "k", 0).has(mine).any()
+
+
 def chat(text):
     return f"<|im_start|>system\nTu réponds.\n<|im_end|>\n<|im_start|>user\nQuoi?\n<|im_end|>\n<|im_start|>assistant\n{text}\n<|im_end|>"
 
