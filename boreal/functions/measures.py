@@ -24,9 +24,10 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def strict_bool(x: Column) -> Column:
-    """true/false or 0/1 and nothing else; null marks a malformed value."""
-    plain = F.lower(F.trim(x.cast("string")))
-    return F.when(plain.isin("true", "1"), True).when(plain.isin("false", "0"), False)
+    """A boolean, or 0 or 1 as a number or text, and nothing else; null marks a malformed value."""
+    plain = F.trim(x.cast("string"))
+    real = F.typeof(x) == "boolean"
+    return F.when(plain == "1", True).when(plain == "0", False).when(real & (plain == "true"), True).when(real & (plain == "false"), False)
 
 
 def number(x: Column) -> Column:

@@ -1,15 +1,12 @@
-"""Text expressions on columns. All but NFC and casefold's rarest letters stay inside the JVM."""
+"""Text expressions on columns; all stay inside the JVM."""
 
 from __future__ import annotations
 
 import re
-import unicodedata
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 #: Every character Unicode calls white space, as Python's ``\s`` has it; Java's own class is ASCII.
 BLANK = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
@@ -28,15 +25,16 @@ def clean(x: Column | str) -> Column:
     return F.trim(F.regexp_replace(_col(x), BLANK + "+", " "))
 
 
-def norm_key(x: Column | str) -> Column:
-    """The key under which two texts count as the same: cleaned and case-folded."""
-    return F.replace(F.lower(clean(x)), F.lit("ß"), F.lit("ss"))
+def nfc(x: Column | str) -> Column:
+    """Unicode normal form C. Texts below U+0300 have it already; the others go through the JVM's ICU library, so no
+    text leaves the JVM."""
+    x = _col(x)
+    return F.when(x.rlike("[^\\x{0}-\\x{2ff}]"), F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), x, F.lit(False))).otherwise(x)
 
 
-@F.pandas_udf(T.StringType())
-def nfc(x: pd.Series) -> pd.Series:
-    """Unicode normal form C; Spark has no expression for it."""
-    return x.map(lambda s: s if s is None or s.isascii() or unicodedata.is_normalized("NFC", s) else unicodedata.normalize("NFC", s))
+def norm_key(x: Column | str) -> Column:
+    """The key under which two texts count as the same: composed (NFC), cleaned and case-folded."""
+    return F.replace(F.lower(clean(nfc(x))), F.lit("ß"), F.lit("ss"))
 
 
 def atom(x: Column | str) -> Column:
@@ -46,7 +44,7 @@ def atom(x: Column | str) -> Column:
 
 def holdout_key(x: Column | str) -> Column:
     """The key for exact matches against held-out text: lower case, straight apostrophes, no punctuation."""
-    plain = F.translate(F.lower(_col(x)), "’‘“”«»", "''\"\"\"\"")
+    plain = F.translate(F.lower(nfc(x)), "’‘“”«»", "''\"\"\"\"")
     return clean(F.regexp_replace(plain, r"[^\p{L}\p{N}_\s\p{Z}']", ""))
 
 

@@ -10,54 +10,61 @@ from pyspark.sql import functions as F
 from boreal.functions.text import sha, unit_hash
 
 
-def drops_per_key(counts: Mapping[str, int], cap: float | Mapping[str, float]) -> dict[str, int]:
+def drops_per_class(classes: Mapping[tuple[int, float], int]) -> dict[tuple[int, float], int]:
     """How many rows each key loses when, while any key with several rows is above its cap of the current total,
-    every such key loses one. Only counts decide, so it runs on counts alone."""
-    of = (lambda k: cap.get(k, 1.0)) if isinstance(cap, Mapping) else (lambda k: cap)
-    left = {k: n for k, n in counts.items() if n > 0}
-    total = sum(left.values())
+    every such key loses one. Keys with the same number of rows and the same cap fare alike, so it runs on
+    ``(rows, cap) -> keys``, of which there are far fewer than keys."""
+    left = {c: c[0] for c in classes if c[0] > 0}
+    total = sum(n * classes[c] for c, n in left.items())
     while total:
-        over = [k for k, n in left.items() if n > 1 and n / total > of(k) + 1e-9]
+        over = [c for c, n in left.items() if n > 1 and n / total > c[1] + 1e-9]
         if not over:
             break
         # All keys above their caps lose one row a round. As long as the same keys stay above and no other joins
         # them, rounds are alike; ``rounds`` of them are taken at once, checked by the same test at their end.
-        rounds = max(1, min(left[k] for k in over) // 2)
+        rounds, width = max(1, min(left[c] for c in over) // 2), sum(classes[c] for c in over)
+        inside = set(over)
         while rounds > 1:
-            later = total - (rounds - 1) * len(over)
-            same = all((left[k] - rounds + 1) > 1 and (left[k] - rounds + 1) / later > of(k) + 1e-9 for k in over)
-            if same and not any(n > 1 and n / later > of(k) + 1e-9 for k, n in left.items() if k not in set(over)):
+            later = total - (rounds - 1) * width
+            same = all((left[c] - rounds + 1) > 1 and (left[c] - rounds + 1) / later > c[1] + 1e-9 for c in over)
+            if same and not any(n > 1 and n / later > c[1] + 1e-9 for c, n in left.items() if c not in inside):
                 break
             rounds //= 2
-        for k in over:
-            left[k] -= rounds
-        total -= rounds * len(over)
-    return {k: counts[k] - left.get(k, 0) for k in counts if counts[k] > left.get(k, 0)}
+        for c in over:
+            left[c] -= rounds
+        total -= rounds * width
+    return {c: c[0] - left.get(c, 0) for c in classes if c[0] > left.get(c, 0)}
 
 
 def drop_score(seed: int, *keys: Column | str) -> Column:
     return sha(F.concat_ws(":", F.lit(str(seed)), *keys))
 
 
-def share_cap(df: DataFrame, key: str, cap: float | Mapping[str, float], rank: Sequence[str], most_keys: int = 1_000_000) -> DataFrame:
+def share_cap(df: DataFrame, key: str, cap: float | Mapping[str, float], rank: Sequence[str]) -> DataFrame:
     """Rows under a cap on each key's share; a key's rows with the greatest rank go first. ``rank`` begins with a
-    column of hexadecimal hashes.
+    column of hexadecimal hashes. With a mapping each key has its own cap, and keys without one are free; a null key
+    is the key "unknown".
 
-    Only the counts per key reach the driver; more than ``most_keys`` of them is refused with a ValueError. A key's
-    rows are told apart by the first three digits of their hash: whole buckets above the cut go, whole buckets
-    below it stay, and only the bucket the cut falls into is ordered, so a key that holds a third of all rows is
-    never sorted in one task.
+    Only a histogram reaches the driver, how many keys have how many rows under which cap: different row counts are
+    at most about the square root of twice the rows, however many keys there are. A key's rows are told apart by the
+    first three digits of their hash: whole buckets above the cut go, whole buckets below it stay, and only the
+    bucket the cut falls into is ordered, so a key that holds a third of all rows is never sorted in one task.
     """
-    name = F.coalesce(F.col(key).cast("string"), F.lit("unknown"))
-    counted = df.groupBy(name.alias("key")).count().limit(most_keys + 1).collect()
-    if len(counted) > most_keys:
-        raise ValueError(f"more than {most_keys} keys")
-    drops = drops_per_key({r["key"]: r["count"] for r in counted}, cap)
+    own = df.withColumn("__key", F.coalesce(F.col(key).cast("string"), F.lit("unknown")))
+    counted = own.groupBy("__key").agg(F.count(F.lit(1)).alias("__rows"))
+    if isinstance(cap, Mapping):
+        known = df.sparkSession.createDataFrame([(k, float(v)) for k, v in cap.items()], "__key string, __cap double")
+        counted = counted.join(F.broadcast(known), "__key", "left").withColumn("__cap", F.coalesce("__cap", F.lit(1.0)))
+    else:
+        counted = counted.withColumn("__cap", F.lit(float(cap)))
+    classes = {(r["__rows"], r["__cap"]): r["n"] for r in counted.groupBy("__rows", "__cap").agg(F.count(F.lit(1)).alias("n")).collect()}
+    drops = drops_per_class(classes)
     if not drops:
         return df
-    table = df.sparkSession.createDataFrame(list(drops.items()), "__key string, __drops bigint")
-    own = df.withColumn("__key", name).withColumn("__bucket", F.substring(rank[0], 1, 3))
-    sizes = own.join(table, "__key").groupBy("__key", "__bucket", "__drops").count()
+    table = df.sparkSession.createDataFrame([(n, c, d) for (n, c), d in drops.items()], "__rows bigint, __cap double, __drops bigint")
+    losing = counted.join(table, ["__rows", "__cap"]).select("__key", "__drops")
+    own = own.withColumn("__bucket", F.substring(rank[0], 1, 3))
+    sizes = own.groupBy("__key", "__bucket").count().join(losing, "__key")
     above = Window.partitionBy("__key").orderBy(F.desc("__bucket")).rowsBetween(Window.unboundedPreceding, -1)
     cuts = sizes.withColumn("__above", F.coalesce(F.sum("count").over(above), F.lit(0)))
     cuts = cuts.select("__key", "__bucket", (F.col("__drops") - F.col("__above")).alias("__left"), "count")

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boreal.functions.text import holdout_key
+from boreal.functions.text import holdout_key, sha
 from boreal.session import written
 
 
@@ -42,7 +42,8 @@ def _parts(grams: np.ndarray, size_class: int, threshold: float) -> np.ndarray:
     sums = np.concatenate([[np.uint64(0)], np.cumsum((values * np.uint64(0xFF51AFD7ED558CCD) ^ (values >> np.uint64(31)))[order], dtype=np.uint64)])
     ends = np.searchsorted(part[order], np.arange(count), side="right")
     total = sums[ends] - sums[np.concatenate([[0], ends[:-1]])]
-    key = total * np.uint64(0x9E3779B97F4A7C15) + np.arange(count, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(size_class + 1) * np.uint64(0x165667B19E3779F9)
+    size = np.array([size_class + 1], np.uint64) * np.uint64(0x165667B19E3779F9)  # an array wraps around silently
+    key = total * np.uint64(0x9E3779B97F4A7C15) + np.arange(count, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) + size
     return (key ^ (key >> np.uint64(29))).view(np.int64)
 
 
@@ -72,8 +73,8 @@ def similar_matches(train: DataFrame, holdout: DataFrame, key: str, text: str =
         raise ValueError("threshold must be in (0, 1]")
     sides = []
     for df, name in ((train, "train"), (holdout, "holdout")):
-        rows = written(_keyed(df, key, text).withColumn("set", F.xxhash64("norm")), f"{name}-rows")
-        sets = rows.groupBy("set").agg(F.first("norm").alias("norm")).mapInPandas(_grams, "set bigint, grams array<bigint>")
+        rows = written(_keyed(df, key, text).withColumn("set", F.unhex(F.substring(sha("norm"), 1, 32))), f"{name}-rows")
+        sets = rows.groupBy("set").agg(F.first("norm").alias("norm")).mapInPandas(_grams, "set binary, grams array<bigint>")
         sides.append((rows, written(sets, f"{name}-sets")))
     (train_rows, train_sets), (hold_rows, hold_sets) = sides
 
@@ -83,13 +84,13 @@ def similar_matches(train: DataFrame, holdout: DataFrame, key: str, text: str =
                 sets, sizes, parts = [], [], []
                 for s, g in zip(pdf["set"], pdf["grams"], strict=True):
                     own = np.concatenate([_parts(g, c, threshold) for c in {max(_size_class(len(g), threshold) + i, 0) for i in around}])
-                    sets.append(np.full(len(own), s))
+                    sets += [s] * len(own)
                     sizes.append(np.full(len(own), len(g), np.int32))
                     parts.append(own)
                 if sets:
-                    yield pd.DataFrame({f"set_{x}": np.concatenate(sets), f"n_{x}": np.concatenate(sizes), "part": np.concatenate(parts)})
+                    yield pd.DataFrame({f"set_{x}": sets, f"n_{x}": np.concatenate(sizes), "part": np.concatenate(parts)})
 
-        return sets.mapInPandas(batches, f"set_{x} bigint, n_{x} int, part bigint")
+        return sets.mapInPandas(batches, f"set_{x} binary, n_{x} int, part bigint")
 
     near = F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * (threshold - 1e-9)
     met = posted(train_sets, "a", (0,)).join(posted(hold_sets, "b", (-1, 0, 1)), "part")

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from boreal.session import written
+from boreal.session import discard, written
 
 
 def first_wins(df: DataFrame, keys: Sequence[str | Column], order: Sequence[str]) -> DataFrame:
@@ -43,7 +43,8 @@ def two_key_reasons(df: DataFrame, exact: str, normal: str, order: Sequence[str]
 
 def duplicate_counts(df: DataFrame, **keys: Column) -> DataFrame:
     """Rows less distinct keys, for each named key."""
-    return df.agg(F.count(F.lit(1)).alias("records"), *[(F.count(F.lit(1)) - F.countDistinct(k)).alias(n) for n, k in keys.items()])
+    keyed = df.select(*[k.alias(n) for n, k in keys.items()])
+    return keyed.agg(F.count(F.lit(1)).alias("records"), *[(F.count(F.lit(1)) - F.countDistinct(n)).alias(n) for n in keys])
 
 
 def forgetful_dedup(df: DataFrame, key: str, order: Sequence[str], memory: int) -> DataFrame:
@@ -72,16 +73,19 @@ def dedup_examples(candidates: DataFrame, record: str, rank: str, order: Sequenc
     a record. An example beyond its record's limit claims no hash, so neither step can go first; instead, in
     rounds: the first live candidate owns its hash, owners are ranked in their record, those beyond the limit die,
     until none does. Rounds are written to the shared folder."""
-    live = written(candidates.withColumn("__dead", F.lit(False)), "candidates")
+    # Rounds move ids and hashes only; the examples themselves are joined once, at the end.
+    columns = list(dict.fromkeys([*order, record, rank, exact, normal]))
+    live = written(candidates.select(*columns).withColumn("__dead", F.lit(False)), "candidates")
     window = Window.partitionBy(record).orderBy(rank)
     for _ in range(rounds):
         alive = live.where(~F.col("__dead"))
         first = alive.groupBy(normal).agg(F.min(F.struct(*order)).alias("__first"))
         owners = alive.join(first, normal).where(F.struct(*order) == F.col("__first")).drop("__first")
-        ranked = owners.withColumn("__n", F.row_number().over(window))
+        ranked = written(owners.withColumn("__n", F.row_number().over(window)), "owners")
         beyond = ranked.where(F.col("__n") > most).select(*order).withColumn("__over", F.lit(True))
-        beyond = written(beyond, "beyond")
         if beyond.isEmpty():
-            return ranked.drop("__n", "__dead")
-        live = written(live.join(beyond, list(order), "left").withColumn("__dead", F.col("__dead") | F.coalesce("__over", F.lit(False))).drop("__over"), "candidates")
+            return candidates.join(ranked.select(*order), list(order), "left_semi")
+        before, live = live, written(live.join(beyond, list(order), "left").withColumn("__dead", F.col("__dead") | F.coalesce("__over", F.lit(False))).drop("__over"), "candidates")
+        discard(before)
+        discard(ranked)
     raise RuntimeError(f"examples not settled after {rounds} rounds")

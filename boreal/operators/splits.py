@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import heapq
-import random
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from boreal.functions.text import sha, unit_hash
+from boreal.session import written
 
 NAMES = ("train", "dev", "test")
 
@@ -48,41 +47,39 @@ def shuffled_split(df: DataFrame, key: str, seed: int, ratios: Mapping[str, floa
     return hashed.withColumn("__n", place).withColumn("split", split).drop("__h", "__b", "__n")
 
 
-def assign_groups(sizes: Mapping[str, int], ratios: Mapping[str, float], seed: int) -> dict[str, str]:
-    """A split for each group: groups in seeded order, each to the split furthest below its target (ties: the smaller
-    split, then by name); dev and test, if left empty, get the smallest group of the largest split."""
-    total = sum(sizes.values())
-    targets, have = split_counts(total, ratios), dict.fromkeys(NAMES, 0)
-    order = sorted(sizes)
-    random.Random(seed).shuffle(order)
-    out: dict[str, str] = {}
-    for g in order:
-        best = min(NAMES, key=lambda s: (have[s] - targets[s], have[s], s))
-        out[g] = best
-        have[best] += sizes[g]
-    for s in ("dev", "test"):
-        if total >= 3 and not have[s]:
-            donor = max(NAMES, key=lambda x: have[x])
-            own = [(sizes[g], g) for g in out if out[g] == donor]
-            if len(own) > 1:
-                n, g = heapq.nsmallest(1, own)[0]
-                out[g] = s
-                have[donor] -= n
-                have[s] += n
-    return out
-
-
-def grouped_split(df: DataFrame, group: str, seed: int, ratios: Mapping[str, float], most_groups: int = 1_000_000) -> DataFrame:
-    """Whole groups into splits. Up to ``most_groups`` their sizes are balanced on the driver; beyond, each group's
-    hash decides, which needs no sizes."""
-    sizes = df.groupBy(F.coalesce(F.col(group).cast("string"), F.lit("unknown")).alias("__g")).count().limit(most_groups + 1).collect()
+def grouped_split(df: DataFrame, group: str, seed: int, ratios: Mapping[str, float]) -> DataFrame:
+    """Whole groups into splits: groups stand in the order of their seeded hash, and a group goes to the split in
+    whose share of all rows the middle of its own rows falls, so each split fills up to its target and is off by
+    half a group at most. If dev or test stays empty though there are three rows, the smallest group of the fullest
+    split (ties: the first in order) moves there, as long as that split keeps another.
+
+    One rule at every size, without groups on the driver: a group's rows are counted, groups are put into 4,096
+    buckets by hash, and the rows before a group are those of the buckets before (summed on the driver) plus those
+    before it in its bucket. A null group is the group "unknown"; an empty table gives no rows."""
     own = df.withColumn("__g", F.coalesce(F.col(group).cast("string"), F.lit("unknown")))
-    if len(sizes) > most_groups:
-        u = unit_hash(F.concat_ws(":", F.lit(str(seed)), "__g"))
-        return own.withColumn("split", F.when(u < ratios["train"], "train").when(u < ratios["train"] + ratios["dev"], "dev").otherwise("test")).drop("__g")
-    chosen = assign_groups({r["__g"]: r["count"] for r in sizes}, ratios, seed)
-    table = df.sparkSession.createDataFrame(list(chosen.items()) or [("", "train")], "__g string, split string")
-    return own.join(table, "__g").drop("__g")
+    sized = own.groupBy("__g").agg(F.count(F.lit(1)).alias("__n")).withColumn("__h", sha(F.concat_ws(":", F.lit(str(seed)), "__g")))
+    sized = sized.withColumn("__b", F.conv(F.substring("__h", 1, 3), 16, 10).cast("int"))
+    sums = {r["__b"]: r["n"] for r in sized.groupBy("__b").agg(F.sum("__n").alias("n")).collect()}
+    total, start = 0, []
+    for b in range(4096):
+        start.append(total)
+        total += sums.get(b, 0)
+    targets = split_counts(total, ratios)
+    inside = Window.partitionBy("__b").orderBy("__h", "__g").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.element_at(F.array(*[F.lit(x) for x in start]), F.col("__b") + 1) + F.coalesce(F.sum("__n").over(inside), F.lit(0))
+    middle = before + F.col("__n") / 2
+    split = F.when(middle < targets["train"], "train").when(middle < targets["train"] + targets["dev"], "dev").otherwise("test")
+    placed = written(sized.withColumn("split", split).select("__g", "__n", "__h", "split"), "groups")
+    have = {r["split"]: (r["rows"], r["groups"], r["least"]) for r in placed.groupBy("split").agg(F.sum("__n").alias("rows"), F.count(F.lit(1)).alias("groups"), F.min(F.struct("__n", "__h", "__g")).alias("least")).collect()}
+    for s in ("dev", "test"):
+        donor = max((x for x in NAMES if x in have), key=lambda x: have[x][0], default=None)
+        if total < 3 or s in have or have[donor][1] < 2:
+            continue
+        least = have[donor][2]
+        placed = placed.withColumn("split", F.when(F.col("__g") == least["__g"], s).otherwise(F.col("split")))
+        rest = placed.where(F.col("split") == donor).agg(F.sum("__n").alias("rows"), F.count(F.lit(1)).alias("groups"), F.min(F.struct("__n", "__h", "__g")).alias("least")).first()
+        have |= {s: (least["__n"], 1, least), donor: (rest["rows"], rest["groups"], rest["least"])}
+    return own.join(placed.select("__g", "split"), "__g").drop("__g")
 
 
 def split_report(df: DataFrame, split: str = "split", extra: Sequence[Column] = ()) -> DataFrame:

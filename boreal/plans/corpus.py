@@ -290,7 +290,7 @@ def navigation_lines(spark, d):
 
 
 @query(
-    f"""select speaker, count(*) as lines from (select nullif({S.clean("regexp_extract(line, '^(M\\.|Mme|Mmes|MM\\.|[LD]e?[as]? [^:]{2,80}|[\\p{Lu}][^:]{2,80}?)\\s*:', 1)")}, '') as speaker from {_PAGE_LINES}) where speaker is not null group by speaker"""
+    f"""select speaker, count(*) as lines from (select nullif({S.clean("regexp_extract(line, '^(M\\.|Mme|Mmes|MM\\.|Le président|La présidente|Le député|La députée|[A-ZÉÈÀÂÊÎÔÛÇ][^:]{2,80})\\s*:', 1)")}, '') as speaker from {_PAGE_LINES}) where speaker is not null group by speaker"""
 )
 def speakers(spark, d):
     own = _page_lines(spark, d).select(html.speaker(F.col("line")).alias("speaker"))
@@ -482,21 +482,41 @@ def shuffled_split(spark, d):
     return splits.shuffled_split(_documents(spark, d).select("doc_id"), "doc_id", 42, {"train": 0.9, "dev": 0.05, "test": 0.05}).select("doc_id", "split")
 
 
-@query()
+@query(
+    """with g as (select coalesce(source, 'unknown') as g, count(*) as n, sha256('42:' || coalesce(source, 'unknown')) as h from documents group by 1, 3),
+b as (select *, coalesce(sum(n) over (order by h, g rows between unbounded preceding and 1 preceding), 0) + n / 2 as middle, sum(n) over () as t from g),
+c as (select *, greatest(trunc(t * 0.05), 1) as dev, greatest(t - trunc(t * 0.9) - trunc(t * 0.05), 1) as test from b),
+s as (select *, case when middle < t - dev - test then 'train' when middle < t - test then 'dev' else 'test' end as split from c),
+m as (select g from s where split = 'train' order by n, h, g limit (case when exists (select 1 from s where split = 'dev') then 0 else 1 end))
+select doc_id, source, case when s.g in (select g from m) then 'dev' else split end as split from documents join s on s.g = coalesce(source, 'unknown')"""
+)
 def grouped_split(spark, d):
     """Documents split so that no source is in two splits."""
     own = _documents(spark, d).select("doc_id", "source")
     return splits.grouped_split(own, "source", 42, {"train": 0.9, "dev": 0.05, "test": 0.05})
 
 
-@query()
+_RANKED = "(select doc_id, {k}, coalesce({k}, 'unknown') as k, row_number() over (partition by coalesce({k}, 'unknown') order by sha256('42:' || doc_id::varchar), doc_id) as rank, count(*) over (partition by coalesce({k}, 'unknown')) as n from documents)"
+
+
+@query(
+    f"""with r as (select * from {_RANKED.format(k='source')}), c as (select k, count(*) as n from r group by k),
+l as (select level, (select sum(least(n, level)) from c) as t from (select unnest(range(1, (select max(n) + 1 from c))) as level))
+select doc_id, source from r where rank <= (select max(level) from l where level = 1 or level <= (0.05 + 1e-9) * t)"""
+)
 def share_cap_source(spark, d):
     """Documents left when no source may hold more than a twentieth."""
     own = _documents(spark, d).select("doc_id", "source", balance.drop_score(42, F.col("doc_id").cast("string")).alias("h"))
     return balance.share_cap(own, "source", 0.05, ["h", "doc_id"]).select("doc_id", "source")
 
 
-@query()
+@query(
+    f"""with r as (select * from {_RANKED.format(k='domain')}), c as (select k, count(*) as n from r group by k), t as (select sum(n) as all_rows from c),
+p as (select unnest(range(0, coalesce((select n from c where k = 'politics'), 0) + 1)) as p), q as (select unnest(range(0, coalesce((select n from c where k = 'literature'), 0) + 1)) as q),
+x as (select p, q, all_rows - coalesce((select n from c where k = 'politics'), 0) - coalesce((select n from c where k = 'literature'), 0) + p + q as total from p, q, t),
+ok as (select max(p) as p, max(q) as q from x where (p <= 1 or p <= (0.2 + 1e-9) * total) and (q <= 1 or q <= (0.15 + 1e-9) * total))
+select doc_id, domain from r, ok where rank <= case k when 'politics' then p when 'literature' then q else n end"""
+)
 def share_cap_domain(spark, d):
     """A cap for each domain; domains without one are free."""
     own = _documents(spark, d).select("doc_id", "domain", balance.drop_score(42, F.col("doc_id").cast("string")).alias("h"))

@@ -190,7 +190,7 @@ def example_violations(spark, d):
 # --- contamination --------------------------------------------------------------------------------------------------
 
 _HELD = "(select example_id, text from dev union all select example_id, text from test)"
-_KEY = r"trim(regexp_replace(regexp_replace(translate(lower(text), '’‘“”«»', '''''\"\"\"\"'), '[^\p{L}\p{N}_\s\p{Z}'']', '', 'g'), '[\s\x0b\x1c-\x1f\x85\p{Z}]+', ' ', 'g'))".replace('\\"', '"')
+_KEY = r"trim(regexp_replace(regexp_replace(translate(lower(nfc_normalize(text)), '’‘“”«»', '''''\"\"\"\"'), '[^\p{L}\p{N}_\s\p{Z}'']', '', 'g'), '[\s\x0b\x1c-\x1f\x85\p{Z}]+', ' ', 'g'))".replace('\\"', '"')
 
 
 def _held(spark, d):
@@ -227,12 +227,12 @@ def _scores() -> str:
     for s in ("base", "adapter"):
         good, bad = _HAS.format(t="expected_terms", r=f"{s}_response"), _HAS.format(t="forbidden_terms", r=f"{s}_response")
         cols.append(f"({good})::int - ({bad})::int as {s}_score, {good} as {s}_preferred, {bad} as {s}_forbidden")
-    return f"(select run_id, prompt_id, lexical_pair_id, task_type, generated_at, base, adapter, {', '.join(cols)} from base_vs_adapter_generations)"
+    return f"(select run_id, prompt_id, lexical_pair_id, task_type, generated_at, base, adapter, adapter_response, {', '.join(cols)} from base_vs_adapter_generations)"
 
 
-def _rescored(spark, d):
+def _rescored(spark, d, *more):
     return evaluation.rescore(_generations(spark, d), ["base_response", "adapter_response"], "expected_terms", "forbidden_terms").select(
-        "run_id", "prompt_id", "lexical_pair_id", "task_type", "generated_at", "base", "adapter", "expected_terms", "forbidden_terms",
+        "run_id", "prompt_id", "lexical_pair_id", "task_type", "generated_at", "base", "adapter", "expected_terms", "forbidden_terms", *more,
         *[F.col(f"{s}_response_score.{c}").alias(f"{s}_{n}") for s in ("base", "adapter") for c, n in (("score", "score"), ("preferred_hit", "preferred"), ("forbidden_hit", "forbidden"))],
     )
 
@@ -277,15 +277,103 @@ def top_failure_reasons(spark, d):
     return balance.top_codes(own, ["task_type"], "reason", "prompt_id", 2)
 
 
+#: A level for each row, a phenomenon, and what a grader would have written: rows without an answer are malformed.
+_GRADE = f"""(select prompt_id || '|' || run_id as id, case when task_type is null then 'lp?' when lexical_pair_id is null then '20' else '9' end as lp_id, coalesce(task_type, 'none') as phenomenon,
+case when coalesce({S.clean('adapter_response')}, '') = '' then 'sans réponse' when adapter_score > 0 then '1' else '0' end as is_correct, case when base_score < 0 then '1.5' when adapter_preferred then '0.75' end as similarity,
+case when adapter_forbidden then 'contains_forbidden' when base_preferred then 'missing_preferred' when base_forbidden then 'invented' end as error_code from """
+_SEVERITY = "(values (9, 'missing_preferred', 'minor'), (9, 'contains_forbidden', 'blocking'), (20, 'contains_forbidden', 'minor'))"
+
+
+def _graded_sql(tail: str) -> str:
+    return f"""with g as (select *, try_cast(lp_id as int) as lp, case is_correct when '1' then true when '0' then false end as ok, try_cast(similarity as double) as sim from {_GRADE}{_scores()})),
+r as (select g.*, t.severity, lp is null or ok is null or coalesce(sim not between 0 and 1, false) as bad from g left join {_SEVERITY} t(lp_id, error_code, severity) on t.lp_id = g.lp and t.error_code = g.error_code),
+d as (select *, not bad and not ok as wrong, not bad and not ok and coalesce(severity <> 'blocking', false) as mild from r) {tail}"""
+
+
+def _graded(spark, d):
+    scored = _rescored(spark, d, "adapter_response")
+    rows = scored.select(
+        F.concat("prompt_id", F.lit("|"), "run_id").alias("id"),
+        F.when(F.col("task_type").isNull(), "lp?").when(F.col("lexical_pair_id").isNull(), "20").otherwise("9").alias("lp_id"),
+        F.coalesce("task_type", F.lit("none")).alias("phenomenon"),
+        F.when(F.coalesce(X.clean("adapter_response"), F.lit("")) == "", "sans réponse").when(F.col("adapter_score") > 0, "1").otherwise("0").alias("is_correct"),
+        F.when(F.col("base_score") < 0, "1.5").when(F.col("adapter_preferred"), "0.75").alias("similarity"),
+        F.when(F.col("adapter_forbidden"), "contains_forbidden").when(F.col("base_preferred"), "missing_preferred").when(F.col("base_forbidden"), "invented").alias("error_code"),
+    )
+    taxonomy = spark.createDataFrame([(9, "missing_preferred", "minor"), (9, "contains_forbidden", "blocking"), (20, "contains_forbidden", "minor")], "lp_id int, error_code string, severity string")
+    return evaluation.graded(rows, F.col("is_correct"), F.col("error_code"), taxonomy, similarity=F.col("similarity"))
+
+
 @query(
-    f"""select task_type, count(*) as n, 0 as malformed, count_if(adapter_score > 0) as correct, count_if(adapter_score > 0) / count(*) as accuracy, count_if(adapter_score <= 0 and adapter_forbidden) as blocking,
-count_if(adapter_score <= 0 and not adapter_forbidden) as non_blocking from {_scores()} group by task_type"""
+    _graded_sql(
+        """select lp_id, phenomenon, count_if(not bad) as n, count_if(bad) as malformed, count_if(not bad and ok) as correct, count_if(not bad and ok) / nullif(count_if(not bad), 0) as accuracy, avg(sim) filter (where not bad) as mean_similarity,
+count_if(wrong and error_code is not null and severity is null) as unknown_codes, count_if(wrong and not mild) as blocking, count_if(mild) as non_blocking from d group by lp_id, phenomenon"""
+    )
 )
 def diagnostics(spark, d):
-    taxonomy = spark.createDataFrame([("missing_preferred", "minor"), ("contains_forbidden", "blocking")], "error_code string, severity string")
-    own = _rescored(spark, d)
-    code = F.when(F.col("adapter_forbidden"), "contains_forbidden").otherwise("missing_preferred")
-    return evaluation.diagnostics(own, ["task_type"], F.col("adapter_score") > 0, F.lit(None).cast("double"), code, taxonomy).drop("mean_similarity")
+    """Accuracy, similarity and errors by level and phenomenon; the same code weighs differently on two levels."""
+    return evaluation.diagnostics(_graded(spark, d), ["lp_id", "phenomenon"])
+
+
+_FIRST_CODES = "select {by}error_code as code, n, first_seen, cast(rank as int) as rank from (select *, row_number() over ({part} order by n desc, first_seen, error_code) as rank from (select {by}error_code, count(*) as n, min(id) as first_seen from d where wrong and error_code is not null group by all)) where rank <= {most}"
+
+
+@query(_graded_sql(_FIRST_CODES.format(by="lp_id, phenomenon, ", part="partition by lp_id, phenomenon", most=3)))
+def diagnostics_codes(spark, d):
+    """The three most frequent codes of each level and phenomenon."""
+    return evaluation.error_codes(_graded(spark, d), ["lp_id", "phenomenon"], "id", 3)
+
+
+@query(_graded_sql(_FIRST_CODES.format(by="", part="", most=5)))
+def diagnostics_codes_overall(spark, d):
+    return evaluation.error_codes(_graded(spark, d), [], "id", 5)
+
+
+@query(_graded_sql("select lp_id, phenomenon, string_agg(error_code || '=' || n, ' ' order by error_code) as errors from (select lp_id, phenomenon, error_code, count(*) as n from d where wrong and error_code is not null group by all) group by 1, 2"))
+def diagnostics_errors(spark, d):
+    own = evaluation.error_map(_graded(spark, d), ["lp_id", "phenomenon"])
+    return own.select("lp_id", "phenomenon", F.array_join(F.transform("errors", lambda e: F.concat(e["code"], F.lit("="), e["n"].cast("string"))), " ").alias("errors"))
+
+
+@query(
+    _graded_sql(
+        """select *, malformed + missing_codes + unknown_codes + blocking = 0 and missing_levels = '' as ok from (select count(*) as total, count_if(bad) as malformed, count_if(wrong and error_code is null) as missing_codes,
+count_if(wrong and error_code is not null and severity is null) as unknown_codes, count_if(wrong and not mild) as blocking, array_to_string(list_filter([9, 20], lambda x: not coalesce(list_contains(list(lp) filter (where not bad), x), false)), ',') as missing_levels from d)"""
+    )
+)
+def diagnostics_verdict(spark, d):
+    return evaluation.diagnostics_verdict(_graded(spark, d), [9, 20]).withColumn("missing_levels", F.array_join("missing_levels", ","))
+
+
+_LEGACY = f"(select prompt_id as id, case when lexical_pair_id is null then ' LP20 ' when task_type = 'rewrite' then 'lp9' when task_type = 'correction' then 'Lexical_Semantics' when task_type is null then '' else task_type end as phenomenon, case when coalesce({S.clean('adapter_response')}, '') = '' then 'non' when adapter_score > 0 then '1' else ' 0' end as is_correct, case when adapter_forbidden then 'a b' when base_forbidden then '' else '1 0 0.5' end as embedding_ref, '0.5 1 0' as embedding_pred, case when base_preferred then ' perte ' else '' end as error_label from "
+
+
+def _legacy(spark, d):
+    own = _rescored(spark, d, "adapter_response").select(
+        F.col("prompt_id").alias("id"),
+        F.when(F.col("lexical_pair_id").isNull(), " LP20 ").when(F.col("task_type") == "rewrite", "lp9").when(F.col("task_type") == "correction", "Lexical_Semantics").when(F.col("task_type").isNull(), "").otherwise(F.col("task_type")).alias("phenomenon"),
+        F.when(F.coalesce(X.clean("adapter_response"), F.lit("")) == "", "non").when(F.col("adapter_score") > 0, "1").otherwise(" 0").alias("is_correct"),
+        F.when(F.col("adapter_forbidden"), "a b").when(F.col("base_forbidden"), "").otherwise("1 0 0.5").alias("embedding_ref"),
+        F.lit("0.5 1 0").alias("embedding_pred"),
+        F.when(F.col("base_preferred"), " perte ").otherwise("").alias("error_label"),
+    )
+    return evaluation.legacy_rows(own)
+
+
+@query(
+    f"""with l as (select *, trim(is_correct) as c, lower(trim(phenomenon)) as p from {_LEGACY}{_scores()}))
+select lp_id, phenomenon, error_code, count(*) as n from (select case when p in ('lp9', 'lp9:lexical_semantics', 'lexical_semantics') then 9 when p in ('lp20', 'lp20:orphaned_preposition', 'orphaned_preposition') then 20 end as lp_id,
+case when p in ('lp9', 'lp9:lexical_semantics', 'lexical_semantics') then 'lexical_semantics' when p in ('lp20', 'lp20:orphaned_preposition', 'orphaned_preposition') then 'orphaned_preposition' when p = '' then 'unknown' else trim(phenomenon) end as phenomenon,
+case when c = '0' then nullif(trim(error_label), '') end as error_code from l) group by all"""
+)
+def legacy_phenomena(spark, d):
+    """Rows of the older layout under today's levels and codes."""
+    return _legacy(spark, d)[0].groupBy("lp_id", "phenomenon", "error_code").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"select issue, count(*) as n from (select 'malformed_embedding_ref' as issue from {_LEGACY}{_scores()}) where trim(is_correct) in ('0', '1') and embedding_ref = 'a b') group by issue")
+def legacy_issues(spark, d):
+    return _legacy(spark, d)[1].groupBy("issue").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("select prompt_id, run_id, generated_at from (select *, row_number() over (partition by prompt_id order by generated_at desc, run_id desc) as n from (select distinct prompt_id, run_id, generated_at from base_vs_adapter_generations where prompt_id is not null)) where n = 1")
@@ -385,45 +473,81 @@ def failure_mining(spark, d):
     return lexical.mined_examples(failed, 2, {"rewrite": 2.0, "correction": 1.5})
 
 
-_CONTRASTS = [
-    (9, "lexique-1", "courriel", "email", ["Écris-moi un {positive_pattern} demain.", "Le {positive_pattern} est parti hier."], ["Écris-moi un {negative_pattern} demain.", "Le {negative_pattern} est parti hier."]),
-    (9, "lexique-2", "fin de semaine", "week-end", ["On part en {positive_pattern} au lac."], ["On part en {negative_pattern} au lac."]),
-    (20, "preposition-1", "avec", "avec.", ["La personne {positive_pattern} qui je parle est là."], ["La personne que je parle {negative_pattern}"]),
-]
-_CONTRAST_SCHEMA = "lp_id int, contrast_id string, positive_pattern string, negative_pattern string, good_templates array<string>, bad_templates array<string>"
-_PAIR_ROWS = [
-    (lp, c, g.replace("{positive_pattern}", p).replace("{negative_pattern}", n), b.replace("{positive_pattern}", p).replace("{negative_pattern}", n))
-    for lp, c, p, n, gs, bs in _CONTRASTS
-    for g, b in zip(gs, bs, strict=True)
-]
-_VALUES = ", ".join(f"({lp}, {S.quote(c)}, {S.quote(g)}, {S.quote(b)})" for lp, c, g, b in _PAIR_ROWS)
+#: Sentences a pair's terms stand in, one side each.
+_SIDES = (("On parle de {positive_pattern} au conseil.", "On parle de {negative_pattern} au conseil."), ("{positive_pattern}, dit-elle.", "{negative_pattern}, dit-elle."))
+
 
+def _contrasts(spark, d):
+    side = lambda k: F.array(*[F.lit(x[k]) for x in _SIDES])
+    own = _pairs(spark, d).select(F.lit(9).alias("lp_id"), F.col("pair_id").alias("contrast_id"), F.col("preferred").alias("positive_pattern"), F.col("source").alias("negative_pattern"), side(0).alias("good_templates"), side(1).alias("bad_templates"))
+    return own.withColumns({"required_good": F.array(F.lit("conseil")), "forbidden_bad": F.array("positive_pattern"), "focus": F.lit("required_preposition_retention")})
 
-@query(f"select 'lp' || lp_id || '-' || substr(sha1(lp_id || '|' || contrast_id || '|' || good || '|' || bad), 1, 10) as id, lp_id, contrast_id, good, bad from (values {_VALUES}) t(lp_id, contrast_id, good, bad)")
+
+_EXPANDED = f"""(select 'lp9-' || substr(sha1('9|' || pair_id || '|' || good || '|' || bad), 1, 10) as id, 9 as lp_id, pair_id as contrast_id, good, bad, preferred, source from
+(select pair_id, preferred, source, replace(replace(g, '{{positive_pattern}}', preferred), '{{negative_pattern}}', source) as good, replace(replace(b, '{{positive_pattern}}', preferred), '{{negative_pattern}}', source) as bad
+from {_PAIRS} p, (values {', '.join(f'({S.quote(g)}, {S.quote(b)})' for g, b in _SIDES)}) t(g, b)))"""
+
+
+@query(f"select id, lp_id, contrast_id, good, bad from {_EXPANDED}")
 def minimal_pairs(spark, d):
-    return pairs.expand(spark.createDataFrame(_CONTRASTS, _CONTRAST_SCHEMA))
+    """A pair for each term pair of the prompts and each sentence."""
+    return pairs.expand(_contrasts(spark, d))
+
+
+_PAIR_CHECKS = (
+    ("invalid_lp_id", "lp is not null and try_cast(lp as int) is null"),
+    ("empty_side", "g = '' or b = ''"),
+    ("non_nfc", "nfc_normalize(good) <> good or nfc_normalize(bad) <> bad"),
+    ("identical_pair", "g = b"),
+    ("punctuation_only_change", "regexp_replace(g, '[^\\p{L}\\p{N}]', '', 'g') = regexp_replace(b, '[^\\p{L}\\p{N}]', '', 'g') and g <> b"),
+    ("too_short", "length(g) < 8 or length(b) < 8"),
+    ("too_long", "length(g) > 220 or length(b) > 220"),
+    ("forbidden_ngram", "regexp_matches(g || chr(1) || b, 'le fin de semaine|un fin de semaine|du fin de semaine|de le')"),
+    ("neutralization_good", "try_cast(lp as int) = 9 and regexp_matches(g, 'week-end|email')"),
+    ("missing_positive_pattern", "try_cast(lp as int) = 9 and coalesce(pos, '') <> '' and not contains(g, pos)"),
+    ("missing_negative_pattern", "try_cast(lp as int) = 9 and coalesce(neg, '') <> '' and not contains(b, neg)"),
+    ("duplicate_pair", "dup"),
+)
 
 
 @query(
-    f"""with p as (select prompt_id || '|' || run_id || '|' || generated_at::varchar as id, coalesce(base_response, '') as good, coalesce(adapter_response, '') as bad from base_vs_adapter_generations),
-n as (select id, {S.norm('good')} as g, {S.norm('bad')} as b from p), f as (select *, row_number() over (partition by g, b order by id) > 1 as dup,
-regexp_replace(g, '[^\\p{{L}}\\p{{N}}]', '', 'g') = regexp_replace(b, '[^\\p{{L}}\\p{{N}}]', '', 'g') and g <> b as punct from n),
-i as (select 'empty_side' as issue from f where g = '' or b = '' union all select 'identical_pair' from f where g = b union all select 'punctuation_only_change' from f where punct
-union all select 'too_short' from f where length(g) < 8 or length(b) < 8 union all select 'too_long' from f where length(g) > 220 or length(b) > 220 union all select 'duplicate_pair' from f where dup)
-select issue, count(*) as n from i group by issue"""
+    f"""with p as (select prompt_id || '|' || run_id || '|' || generated_at::varchar as id, case when task_type = 'rewrite' then '9' when task_type is null then 'neuf' end as lp, coalesce(base_response, '') as good, coalesce(adapter_response, '') as bad, {S.norm("expected_terms[1]")} as pos, {S.norm("forbidden_terms[1]")} as neg from base_vs_adapter_generations),
+n as (select *, {S.norm('good')} as g, {S.norm('bad')} as b from p), f as (select *, row_number() over (partition by g, b order by id) > 1 as dup from n),
+i as ({' union all '.join(f"select {S.quote(n)} as issue from f where {c}" for n, c in _PAIR_CHECKS)}) select issue, issue not in ('non_nfc', 'too_short', 'too_long') as blocking, count(*) as n from i group by issue"""
 )
 def pair_issues(spark, d):
     """The checks of minimal pairs, over pairs of responses."""
-    own = _generations(spark, d).select(F.concat_ws("|", "prompt_id", "run_id", F.date_format("generated_at", "yyyy-MM-dd HH:mm:ss.SSSSSS")).alias("id"), F.coalesce("base_response", F.lit("")).alias("good"), F.coalesce("adapter_response", F.lit("")).alias("bad"))
-    return pairs.issues(own).groupBy("issue").agg(F.count(F.lit(1)).alias("n"))
+    own = _generations(spark, d).select(
+        F.concat_ws("|", "prompt_id", "run_id", F.date_format("generated_at", "yyyy-MM-dd HH:mm:ss.SSSSSS")).alias("id"),
+        F.when(F.col("task_type") == "rewrite", "9").when(F.col("task_type").isNull(), "neuf").alias("lp_id"),
+        F.coalesce("base_response", F.lit("")).alias("good"), F.coalesce("adapter_response", F.lit("")).alias("bad"),
+        F.try_element_at("expected_terms", F.lit(1)).alias("positive_pattern"), F.try_element_at("forbidden_terms", F.lit(1)).alias("negative_pattern"),
+    )
+    return pairs.issues(own).groupBy("issue", "blocking").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("select 'x-1' as id, 'context_unauthorized_pair' as issue union all select 'x-1', 'context_stable_id_mismatch' union all select 'x-2', 'context_unknown_contrast' union all select 'x-1', 'context_missing_positive_pattern'")
+@query(
+    f"""with m as (select *, id as own from {_EXPANDED}),
+forged as (select 'f1' || right(id, 10) as id, 9 as lp_id, contrast_id, bad as good, good as bad from m union all select 'f2' || right(id, 10), 20, contrast_id, good, bad from m union all select 'f3' || right(id, 10), 9, contrast_id || '?', good, bad from m),
+r as (select x.*, y.preferred is not null as there, preferred, source, {S.norm('good')} as g, {S.norm('bad')} as b, {S.norm('preferred')} as pos, {S.norm('source')} as neg,
+ exists (select 1 from m where m.contrast_id = x.contrast_id and m.good = x.good and m.bad = x.bad) as known from (select id, lp_id, contrast_id, good, bad from m union all select * from forged) x left join (select distinct contrast_id, preferred, source from m) y using (contrast_id)),
+i as (select 'context_unknown_contrast' as issue from r where not there union all select 'context_lp_id_mismatch' from r where there and lp_id <> 9 union all select 'context_unauthorized_pair' from r where there and not known
+union all select 'context_stable_id_mismatch' from r where there and id <> 'lp9-' || substr(sha1('9|' || contrast_id || '|' || good || '|' || bad), 1, 10)
+union all select 'context_missing_positive_pattern' from r where there and not contains(g, pos) union all select 'context_missing_negative_pattern' from r where there and not contains(b, neg)
+union all select 'lp20_missing_preposition_focus' from r where there and not contains(g, pos) union all select 'lp20_missing_negative_focus' from r where there and not contains(b, neg)
+union all select 'lp20_too_short' from r where there and (length(g) < 16 or length(b) < 16)
+union all select 'context_missing_required_good_substring' from r where there and not contains(g, 'conseil') union all select 'context_forbidden_bad_substring' from r where there and contains(b, pos))
+select issue, count(*) as n from i group by issue"""
+)
 def context_issues(spark, d):
-    """Forged pairs beside true ones."""
-    contrasts = spark.createDataFrame(_CONTRASTS, _CONTRAST_SCHEMA)
-    forged = spark.createDataFrame([("x-1", 9, "lexique-1", "Une phrase inventée.", "Un email inventé."), ("x-2", 9, "inconnu", "a", "b")], "id string, lp_id int, contrast_id string, good string, bad string")
-    return pairs.context_issues(pairs.expand(contrasts).unionByName(forged), contrasts)
+    """Pairs of the prompts' terms beside forged ones: sides exchanged, another level, an unknown contrast."""
+    contrasts = _contrasts(spark, d)
+    true = pairs.expand(contrasts)
+    tail = lambda n: F.concat(F.lit(n), F.substring("id", -10, 10)).alias("id")
+    forged = true.select(tail("f1"), "lp_id", "contrast_id", F.col("bad").alias("good"), F.col("good").alias("bad"))
+    forged = forged.union(true.select(tail("f2"), F.lit(20).alias("lp_id"), "contrast_id", "good", "bad"))
+    forged = forged.union(true.select(tail("f3"), "lp_id", F.concat("contrast_id", F.lit("?")), "good", "bad"))
+    return pairs.context_issues(true.unionByName(forged), contrasts).groupBy("issue").agg(F.count(F.lit(1)).alias("n"))
 
 
 #: Sums widen in SQL; these columns keep the queries' types.
@@ -434,7 +558,8 @@ SQL |= {q: S.typed(SQL[q], columns) for q, columns in {
     "pack_report": {"tokens": "bigint", "commercial": "bigint"},
     "pack_shares": {"n": "bigint"},
     "eval_delta": {"base_score": "bigint", "adapter_score": "bigint", "delta": "bigint"},
-    "diagnostics": {"malformed": "bigint", "correct": "bigint", "blocking": "bigint", "non_blocking": "bigint"},
+    "diagnostics": {c: "bigint" for c in ("n", "malformed", "correct", "unknown_codes", "blocking", "non_blocking")},
+    "diagnostics_verdict": {c: "bigint" for c in ("malformed", "missing_codes", "unknown_codes", "blocking")},
     "trainer_text": {"chars": "int"},
     "embedding_parse": {"size": "int"},
 }.items()}

@@ -10,7 +10,7 @@ def clean(x: str) -> str:
 
 
 def norm(x: str) -> str:
-    return f"replace(lower({clean(x)}), 'ß', 'ss')"
+    return f"replace(lower({clean(f'nfc_normalize({x})')}), 'ß', 'ss')"
 
 
 def words(x: str) -> str:

@@ -51,26 +51,59 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: the session's ``spark.checkpoint.dir``; only where that is unset
-    (tests on one machine) a temporary folder that goes away with the process."""
+    """The folder all executors share: the session's ``spark.checkpoint.dir``. Only a session on one machine may leave
+    it unset and gets a temporary folder that goes away with the process; on a cluster that is a ValueError, as its
+    executors would each write to a disk of their own."""
     base = spark.conf.get(_CONF, None)
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local"):
+            raise ValueError(f"{_CONF} is not set: on {master} intermediate tables need a folder all executors share")
         base = tempfile.mkdtemp(prefix="boreal-")
         atexit.register(shutil.rmtree, base, True)
         spark.conf.set(_CONF, base)
     return base.rstrip("/")
 
 
+_MARKED: set[str] = set()
+
+
+def scratch(spark: SparkSession) -> str:
+    """This application's own part of the shared folder. It is deleted when the driver's JVM ends."""
+    path = f"{shared_dir(spark)}/boreal-{spark.sparkContext.applicationId}"
+    if path not in _MARKED:
+        folder, files = _hadoop(spark, path)
+        files.mkdirs(folder)
+        files.deleteOnExit(folder)
+        _MARKED.add(path)
+    return path
+
+
+def _hadoop(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def written(df: DataFrame, name: str, partitions: int | None = None) -> DataFrame:
     """Write ``df`` as a parquet table in the shared folder and read it back: one computation however often
     the result is used, no lineage behind it, and nothing lost with an executor."""
     spark = df.sparkSession
     ship(spark)
-    path = f"{shared_dir(spark)}/boreal-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch(spark)}/{name}-{uuid.uuid4().hex}"
     if partitions:
         df = df.coalesce(partitions)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._boreal_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the table behind a result of ``written`` that nothing reads any more, as a finished round's."""
+    path = getattr(df, "_boreal_path", None)
+    if path:
+        folder, files = _hadoop(df.sparkSession, path)
+        files.delete(folder, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -14,8 +14,11 @@ from boreal.functions.text import clean
 _BLOCKS = frozenset("address article aside blockquote br dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table td th tr ul".split())
 _SILENT = frozenset(("script", "style", "noscript", "svg"))
 
+#: How a speaker's line may begin besides a capital. Fixed values.
+TITLES = ("M.", "Mme", "Mmes", "MM.", "Le président", "La présidente", "Le député", "La députée")
 #: First words of menu entries. Fixed values.
 NAVIGATION = ("accueil", "menu", "navigation", "fil d'ariane", "recherche", "nous joindre", "retour en haut", "imprimer", "partager", "plan du site", "english")
+SPEAKER = rf"^({'|'.join(t.replace('.', chr(92) + '.') for t in TITLES)}|[A-ZÉÈÀÂÊÎÔÛÇ][^:]{{2,80}})\s*:"
 MONTHS = "janvier|février|mars|avril|mai|juin|juillet|août|septembre|octobre|novembre|décembre"
 
 
@@ -81,7 +84,7 @@ def is_navigation(line: Column) -> Column:
 
 def speaker(line: Column) -> Column:
     """Who speaks, from ``Name : words``; null without such a beginning."""
-    name = F.regexp_extract(line, r"^(M\.|Mme|Mmes|MM\.|[LD]e?[as]? [^:]{2,80}|[\p{Lu}][^:]{2,80}?)\s*:", 1)
+    name = F.regexp_extract(line, SPEAKER, 1)
     return F.nullif(clean(name), F.lit(""))
 
 

@@ -1,9 +1,12 @@
+import os
 import random
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
+from boreal import session
+from boreal.functions import text as X
 from boreal.operators import audit, balance, contamination, curation, dedup, evaluation, instruct, lexical, pairs, rules, splits
 
 
@@ -83,7 +86,9 @@ def test_caps_match_the_loop(seed):
     rng = random.Random(seed)
     counts = {f"k{i}": rng.choice([1, 2, 5, 40, rng.randrange(1, 300)]) for i in range(rng.randrange(1, 8))}
     cap = rng.choice([0.05, 0.2, 0.5, 0.9, 1.0]) if seed % 2 else {k: rng.choice([0.1, 0.3, 0.7]) for k in counts if rng.random() < 0.6}
-    assert balance.drops_per_key(counts, cap) == slow_cap(counts, cap)
+    of = (lambda k: cap.get(k, 1.0)) if isinstance(cap, dict) else (lambda k: cap)
+    drops = balance.drops_per_class(Counter((n, of(k)) for k, n in counts.items()))
+    assert {k: drops[n, of(k)] for k, n in counts.items() if (n, of(k)) in drops} == slow_cap(counts, cap)
 
 
 def test_share_cap_drops_the_greatest_ranks(spark):
@@ -121,16 +126,47 @@ def test_splits(spark):
 
 def test_grouped_split(spark):
     rng = random.Random(2)
-    rows = [(i, f"g{rng.randrange(40)}" if i % 3 else "hot") for i in range(900)]
+    rows = [(i, f"g{rng.randrange(40)}" if i % 3 else "hot") for i in range(900)] + [(900, None)]
     df = spark.createDataFrame(rows, "i int, g string")
-    out = splits.grouped_split(df, "g", 42, {"train": 0.5, "dev": 0.25, "test": 0.25}).collect()
-    assert len(out) == 900
+    ratios = {"train": 0.5, "dev": 0.25, "test": 0.25}
+    out = splits.grouped_split(df, "g", 42, ratios).collect()
+    assert len(out) == 901
     where = {}
     for r in out:
         where.setdefault(r["g"], set()).add(r["split"])
     assert all(len(s) == 1 for s in where.values()) and {r["split"] for r in out} == {"train", "dev", "test"}
-    many = splits.grouped_split(df, "g", 42, {"train": 0.5, "dev": 0.25, "test": 0.25}, most_groups=5).collect()
-    assert len(many) == 900
+    assert rows_of(splits.grouped_split(df.repartition(7), "g", 42, ratios)) == sorted(tuple(r) for r in out)
+    assert splits.grouped_split(df.limit(0), "g", 42, ratios).collect() == []
+    # one group holds nearly all: the smallest groups still fill dev and test
+    df = spark.createDataFrame([(i, "all") for i in range(100)] + [(200 + i, f"k{i % 3}") for i in range(6)], "i int, g string")
+    got = {r["g"]: r["split"] for r in splits.grouped_split(df, "g", 1, {"train": 0.9, "dev": 0.05, "test": 0.05}).collect()}
+    assert set(got.values()) == {"train", "dev", "test"}
+
+
+def test_keys_take_decomposed_accents_for_composed(spark):
+    df = spark.createDataFrame([(1, "Un été à Québec."), (2, "Un e\u0301te\u0301 a\u0300 Que\u0301bec."), (3, "autre")], "i int, text string")
+    assert [r["i"] for r in dedup.first_wins(df, [X.norm_key("text")], ["i"]).orderBy("i").collect()] == [1, 3]
+    assert tuple(dedup.duplicate_counts(df, normal=X.norm_key("text")).first()) == (3, 1)
+    assert [r["is_duplicate"] for r in dedup.duplicate_flags(df, X.sha(X.norm_key("text")), ["i"]).orderBy("i").collect()] == [False, True, False]
+    assert rows_of(contamination.exact_matches(df.where("i = 1"), df, "i")) == [(1, 1), (1, 2)]
+    assert audit.readiness(df).first()["duplicate_normalized"] == 1
+    made = instruct.candidates(df.where("i < 3"), "i", strategies=("style_rewrite",)).select("example_norm_sha256").distinct()
+    assert made.count() == 1
+
+
+def test_tables_between_jobs_need_a_shared_folder(spark, tmp_path):
+    class Elsewhere:
+        conf = type("C", (), {"get": staticmethod(lambda k, d: d)})
+        sparkContext = type("S", (), {"master": "spark://head:7077"})
+
+    with pytest.raises(ValueError):
+        session.shared_dir(Elsewhere())
+    kept = session.written(spark.range(3).toDF("i"), "three")
+    folder = kept._boreal_path
+    assert os.path.isdir(folder) and kept.count() == 3
+    session.discard(kept)
+    assert not os.path.exists(folder)
+    session.discard(spark.range(1))
 
 
 def test_curation(spark):
@@ -167,13 +203,29 @@ def test_similar_matches_match_brute_force(spark):
 
 
 def test_evaluation(spark):
-    df = spark.createDataFrame([("Un courriel.", "email", "k", "true", 0.5, None), ("email!", None, "k", "0", 0.7, "mild"), ("courrielx", "", "k", "0", None, "odd"), ("", "", "k", "maybe", 0.1, None), ("", "", "k", "1", 3.0, None), ("", "", "k", "0", None, None)], "a string, b string, g string, ok string, sim double, code string")
+    df = spark.createDataFrame([("Un courriel.", "email", "k", "1", 0.5, None), ("email!", None, "k", "0", 0.7, "mild"), ("courrielx", "", "k", "0", None, "odd"), ("", "", "k", "maybe", 0.1, None), ("", "", "k", "1", 3.0, None), ("", "", "k", "0", None, None)], "a string, b string, g string, ok string, sim double, code string")
     scored = evaluation.rescore(df.withColumn("w", F.array(F.lit("courriel"))).withColumn("u", F.array(F.lit("email"))), ["a", "b"], "w", "u").collect()
     assert [r["a_score"]["score"] for r in scored] == [1, -1, 0, 0, 0, 0] and scored[0]["b_score"]["score"] == -1
-    taxonomy = spark.createDataFrame([("mild", "minor")], "error_code string, severity string")
-    got = evaluation.diagnostics(df, ["g"], F.col("ok"), F.col("sim"), F.col("code"), taxonomy).first()
-    assert (got["n"], got["malformed"], got["correct"], got["blocking"], got["non_blocking"]) == (4, 2, 1, 2, 1)
+    taxonomy = spark.createDataFrame([(9, "mild", "minor"), (20, "mild", "blocking")], "lp_id int, error_code string, severity string")
+    rows = evaluation.graded(df.withColumn("lp_id", F.lit("9")), F.col("ok"), F.col("code"), taxonomy, similarity=F.col("sim"))
+    got = evaluation.diagnostics(rows, ["g"]).first()
+    assert (got["n"], got["malformed"], got["correct"], got["unknown_codes"], got["blocking"], got["non_blocking"]) == (4, 2, 1, 1, 2, 1)
     assert got["accuracy"] == 0.25 and got["mean_similarity"] == pytest.approx(0.6)
+    other = evaluation.graded(df.withColumn("lp_id", F.lit(20)), F.col("ok"), F.col("code"), taxonomy, similarity=F.col("sim"))
+    assert evaluation.diagnostics(other, ["g"]).first()["blocking"] == 3  # the same code blocks on another level
+    assert [(r["code"], r["n"]) for r in evaluation.error_codes(rows, ["g"], "a", 2).orderBy("rank").collect()] == [("odd", 1), ("mild", 1)]
+    assert evaluation.diagnostics(evaluation.graded(df.withColumn("lp_id", F.lit("x")), F.col("ok"), F.col("code"), taxonomy), ["g"]).first()["malformed"] == 6
+    verdict = evaluation.diagnostics_verdict(rows, [9, 20]).first()
+    assert (verdict["total"], verdict["malformed"], verdict["missing_codes"], verdict["unknown_codes"], verdict["missing_levels"], verdict["ok"]) == (6, 2, 1, 1, [20], False)
+    fine = evaluation.graded(df.where("ok = '1' and sim is null or sim = 0.5").withColumn("lp_id", F.lit(9)), F.col("ok"), F.col("code"), taxonomy)
+    assert evaluation.diagnostics_verdict(fine, [9]).first()["ok"]
+
+
+def test_rows_of_the_older_layout(spark):
+    df = spark.createDataFrame([("a", " LP9 ", "1", "1 0", "1 0", "x"), ("b", "lp20:orphaned_preposition", "0", "1 z", "", " perte "), ("c", "autre", "0", None, None, ""), ("d", None, "oui", "z", "z", "e")], "id string, phenomenon string, is_correct string, embedding_ref string, embedding_pred string, error_label string")
+    rows, issues = evaluation.legacy_rows(df)
+    assert [(r["lp_id"], r["phenomenon"], r["error_code"]) for r in rows.orderBy("id").collect()] == [(9, "lexical_semantics", None), (20, "orphaned_preposition", "perte"), (None, "autre", None), (None, "unknown", None)]
+    assert rows_of(issues) == [("b", "malformed_embedding_ref")]
 
 
 def test_lexical(spark):
@@ -196,7 +248,25 @@ def test_minimal_pairs(spark):
     got = {}
     for r in pairs.issues(spark.createDataFrame(rows, "id string, good string, bad string"), banned=["autre"]).collect():
         got.setdefault(r["id"], set()).add(r["issue"])
-    assert got == {"2": {"duplicate_pair"}, "3": {"empty_side", "too_short"}, "4": {"identical_pair"}, "5": {"punctuation_only_change"}, "6": {"too_long", "banned:autre"}}
+    assert got == {"2": {"duplicate_pair"}, "3": {"empty_side", "too_short"}, "4": {"identical_pair"}, "5": {"punctuation_only_change"}, "6": {"too_long", "forbidden_ngram"}}
+
+
+def test_pairs_against_their_contrasts(spark):
+    contrasts = spark.createDataFrame([(20, "c1", "avec", "sans", ["La personne {positive_pattern} qui je parle."], ["La personne que je parle {negative_pattern}."], "soutenu", ["qui"], ["avec"], "stranded_preposition")], "lp_id int, contrast_id string, positive_pattern string, negative_pattern string, good_templates array<string>, bad_templates array<string>, register string, required_good array<string>, forbidden_bad array<string>, focus string")
+    true = pairs.expand(contrasts).withColumn("register", F.lit("soutenu")).withColumn("phenomenon", F.lit("p"))
+    assert pairs.context_issues(true, contrasts, "p").collect() == []
+    one = true.first()
+    rows = [(one["id"], 20, "c1", one["good"], one["bad"], "familier", "q"), ("x", 9, "c1", "court", "avec", "soutenu", "p"), ("y", 20, "c9", "a", "b", None, "p"), ("z", 20, "c1", None, None, "soutenu", "p")]
+    forged = spark.createDataFrame(rows, "id string, lp_id int, contrast_id string, good string, bad string, register string, phenomenon string")
+    got = {}
+    for r in pairs.context_issues(forged, contrasts, "p").collect():
+        got.setdefault(r["id"], set()).add(r["issue"].removeprefix("context_"))
+    assert got[one["id"]] == {"register_mismatch", "phenomenon_mismatch"}
+    assert got["x"] == {"lp_id_mismatch", "unauthorized_pair", "stable_id_mismatch", "missing_positive_pattern", "missing_negative_pattern", "missing_required_good_substring", "forbidden_bad_substring", "lp20_too_short", "lp20_missing_preposition_focus", "lp20_missing_negative_focus"}
+    assert got["y"] == {"unknown_contrast"}
+    assert "unauthorized_pair" in got["z"]
+    lp9 = spark.createDataFrame([("1", "9", "Un week-end ici même", "Une fin de semaine", "fin de semaine", "week-end"), ("2", "neuf", "Une phrase e\u0301crite", "Une autre phrase", None, None)], "id string, lp_id string, good string, bad string, positive_pattern string, negative_pattern string")
+    assert rows_of(pairs.issues(lp9)) == [("1", "missing_negative_pattern", True), ("1", "missing_positive_pattern", True), ("1", "neutralization_good", True), ("2", "invalid_lp_id", True), ("2", "non_nfc", False)]
 
 
 def test_rules_and_audit(spark):

@@ -90,6 +90,7 @@ def test_measures(col):
     a, b = measures.parse_embedding(both[0]), measures.parse_embedding(both[1])
     got = col(["1 0|1 0", "1 0|0 1", "1 0|-1 0", "0 0|1 1", "1|1 2", "a|1", "1 1|1 0"], measures.cosine(a, b))
     assert got[:6] == [1.0, 0.0, 0.0, 0.0, None, None] and got[6] == pytest.approx(0.5**0.5)
-    assert col(["true", "0", "2", "", None, "TRUE"], measures.strict_bool(F.col("x"))) == [True, False, None, None, None, True]
+    assert col(["1", " 0", "2", "", None, "true"], measures.strict_bool(F.col("x"))) == [True, False, None, None, None, None]
+    assert col([True, False, None], measures.strict_bool(F.col("x")), kind="boolean") == [True, False, None]
     assert col(["1.5", "x", "nan", "inf", None], measures.number(F.col("x"))) == [1.5, None, None, None, None]
     assert col([1, 2, 3, 5], measures.weight(F.col("x"), F.lit(0.5)), kind="int") == [1, 1, 2, 2]
