@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boreal.session import written
+from boreal.session import discard, written
 
 
 def hash_to_min(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 40) -> DataFrame:
@@ -32,5 +32,6 @@ def hash_to_min(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
         least = clusters.groupBy("node").agg(F.min("member").alias("least"))
         pair = lambda a, b: F.struct(F.col(a).alias("node"), F.col(b).alias("member"))
         sent = clusters.join(least, "node").select(F.inline(F.array(pair("least", "member"), pair("member", "least"))))
-        clusters = written(sent.distinct(), "clusters")
+        last, clusters = clusters, written(sent.distinct(), "clusters")
+        discard(last)
     raise RuntimeError(f"components not stable after {most_rounds} rounds")
