@@ -50,6 +50,7 @@ SEEDS = {
 _BOUND = re.compile(r"[.!?…]+[»”\"')\]]*\s+|\s*[\r\n]\s*")
 _TITLES = {"m", "dr", "st", "mr", "mrs"}
 _CHUNK = 1_000_000
+GROWN = 20_000  # letters of a corpus
 
 
 def canonical(label: str | None) -> str | None:
@@ -77,12 +78,14 @@ def trigrams(texts: list[str]) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Profiles:
-    """``table[trigram code, language]``: dot product of a trigram's vector with the unit prototype, over sqrt(D)."""
+    """``table[trigram code, language]``: dot product of a trigram's vector with the unit prototype, over sqrt(D).
+    ``grown[language]``: whether the prototype rests on enough text to tell what is not its language."""
 
     table: np.ndarray
+    grown: np.ndarray
 
     @staticmethod
-    def fit(counts: np.ndarray, dimensions: int = 4096, seed: int = 5) -> Profiles:
+    def fit(counts: np.ndarray, dimensions: int = 4096, seed: int = 5, rests_on: np.ndarray | None = None) -> Profiles:
         """From ``counts[language, trigram code]``. Counts enter by their square root, so that no single frequent
         trigram rules a bundle, and the mean prototype is taken out, as all languages share it."""
         rng = np.random.default_rng(seed)
@@ -104,7 +107,8 @@ class Profiles:
         for a in range(_S):
             for b in range(1, _S):
                 table[a, b] = low @ (proto * (first[a] * second[b])).T
-        return Profiles(table.reshape(-1, len(counts)) / np.float32(np.sqrt(dimensions)))
+        grown = (np.zeros(len(counts)) if rests_on is None else rests_on) >= GROWN
+        return Profiles(table.reshape(-1, len(counts)) / np.float32(np.sqrt(dimensions)), grown)
 
 
 @dataclass
@@ -123,23 +127,22 @@ class Sentences:
         return self.dots / np.sqrt(np.maximum(self.letters, 1))[:, None]
 
 
-def _spans(text: str) -> list[tuple[int, int, bool]]:
+def spans(text: str) -> Iterator[tuple[int, int, bool]]:
     """Sentences of a folded text: they end at closing punctuation or at the end of a line. Whole is one of four
     words or more that ends with such punctuation; a list or a heading is not."""
-    out, start = [], 0
 
-    def add(end: int) -> None:
+    def made(start: int, end: int) -> Iterator[tuple[int, int, bool]]:
         s = text[start:end]
         if s and not s.isspace():
-            out.append((start, end, s.rstrip(" \t\r\n\xa0»”\"')]")[-1:] in (".", "!", "?", "…") and len(s.split()) >= 4))
+            yield start, end, s.rstrip(" \t\r\n\xa0»”\"')]")[-1:] in (".", "!", "?", "…") and len(s.split()) >= 4
 
+    start = 0
     for m in _BOUND.finditer(text):
         if text[m.start()] == "." and text[max(start, m.start() - 3) : m.start()].split()[-1:] and text[max(start, m.start() - 4) : m.start()].split()[-1] in _TITLES:
             continue
-        add(m.end())
+        yield from made(start, m.end())
         start = m.end()
-    add(len(text))
-    return out
+    yield from made(start, len(text))
 
 
 def sentences(texts: list[str], profiles: Profiles) -> Iterator[Sentences]:
@@ -152,7 +155,7 @@ def sentences(texts: list[str], profiles: Profiles) -> Iterator[Sentences]:
             upto += 1
         doc, start, end, whole, flat, base = [], [], [], [], [], 0
         for i in range(at, upto):
-            for s, e, w in _spans(texts[i]):
+            for s, e, w in spans(texts[i]):
                 doc.append(i)
                 start.append(s)
                 end.append(e)
@@ -169,6 +172,27 @@ def sentences(texts: list[str], profiles: Profiles) -> Iterator[Sentences]:
         at = upto
 
 
+def main_languages(texts: list[str | None], profiles: Profiles) -> list[str | None]:
+    """The language each text as a whole is nearest to; None where it has no letters."""
+    folded = [fold(t) if t else "" for t in texts]
+    out: list[str | None] = [None] * len(texts)
+    at = 0
+    while at < len(texts):
+        upto, chars = at, 0
+        while upto < len(texts) and (upto == at or chars + len(folded[upto]) <= _CHUNK):
+            chars += len(folded[upto])
+            upto += 1
+        sizes = np.array([len(t) + 1 for t in folded[at:upto]])
+        code = trigrams([t + "\n" for t in folded[at:upto]])
+        first = np.cumsum(sizes) - sizes
+        best = np.add.reduceat(profiles.table[code], first, axis=0).argmax(axis=1)
+        letters = np.add.reduceat((code != 0).astype(np.int32), first)
+        for i in np.flatnonzero(letters):
+            out[at + i] = LANGUAGES[best[i]]
+        at = upto
+    return out
+
+
 def _counts(texts: list[str], labels: list[int], count: int) -> np.ndarray:
     out = np.zeros((count, _S**3), np.float64)
     for k in range(count):
@@ -178,30 +202,46 @@ def _counts(texts: list[str], labels: list[int], count: int) -> np.ndarray:
     return out
 
 
-def fit_profiles(rows: DataFrame, key: str = "doc_id", text: str = "text", sample: int = 3000, rounds: int = 3, margin: float = 0.15) -> Profiles:
-    """Prototypes from the seed sentences, refined on a bounded sample of ``sample`` documents (those with the least
-    key hash, the same on any partitioning): in each round the sample's sentences that one language wins by the
-    margin join its bundle. Labels aren't used, as they may be wrong. An empty table leaves the seeds."""
-    seeds = [fold(SEEDS[k]) for k in LANGUAGES]
-    base = _counts(seeds, list(range(len(LANGUAGES))), len(LANGUAGES)) * 3
-    profiles = Profiles.fit(base, 2048)
-    marked = rows.where(F.col(text).isNotNull()).select(F.xxhash64(F.col(key)).alias("h"), F.col(text).alias("t"))
-    # Only hashes are ranked; the texts of the sample alone leave their partitions.
-    least = [r["h"] for r in marked.select("h").orderBy("h").limit(sample).collect()]
-    texts = [fold(r["t"]) for r in marked.where(F.col("h") <= least[-1]).orderBy("h", "t").limit(sample).collect()] if least else []
-    for r in range(rounds):
-        parts, labels = [], []
-        for s in sentences(texts, profiles):
-            best = np.sort(s.cosine, axis=1)
-            sure = s.whole & (best[:, -1] - best[:, -2] >= margin)
-            winner = s.cosine.argmax(axis=1)
-            for i in np.flatnonzero(sure):
-                parts.append(texts[s.doc[i]][s.start[i] : s.end[i]])
-                labels.append(int(winner[i]))
-        counts = base + _counts(parts, labels, len(LANGUAGES))
-        counts /= np.maximum(counts.sum(axis=1, keepdims=True), 1) / 1e5  # each language weighs the same
-        profiles = Profiles.fit(counts, 4096 if r == rounds - 1 else 2048)
-    return profiles
+def seed_counts() -> np.ndarray:
+    return _counts([fold(SEEDS[k]) for k in LANGUAGES], list(range(len(LANGUAGES))), len(LANGUAGES)) * 3
+
+
+def sure_counts(texts: list[str | None], profiles: Profiles, margin: float) -> np.ndarray:
+    """``counts[language, trigram]`` over the whole sentences that one language wins by the margin."""
+    out = np.zeros((len(LANGUAGES), _S**3), np.int64)
+    folded = [fold(t) if t else "" for t in texts]
+    for s in sentences(folded, profiles):
+        best = np.sort(s.cosine, axis=1)
+        sure = np.flatnonzero(s.whole & (best[:, -1] - best[:, -2] >= margin))
+        winner = s.dots[sure].argmax(axis=1)
+        for k in range(len(LANGUAGES)):
+            own = [folded[s.doc[i]][s.start[i] : s.end[i]] + "\n" for i in sure[winner == k]]
+            if own:
+                out[k] += np.bincount(trigrams(own), minlength=_S**3)
+    return out
+
+
+def fit_profiles(rows: DataFrame, text: str = "text", margin: float = 0.15) -> Profiles:
+    """Prototypes from the seed sentences, refined on all rows: the sentences that one language wins by the margin join
+    its bundle. Labels aren't used, as they may be wrong. Tasks add up trigram counts, a table of fixed size
+    (alphabet cubed x languages), and only its sums reach the driver. An empty table leaves the seeds."""
+    base = seed_counts()
+    shared = rows.sparkSession.sparkContext.broadcast(Profiles.fit(base, 2048))
+
+    def batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((len(LANGUAGES), _S**3), np.int64)
+        for pdf in it:
+            total += sure_counts(pdf["text"].tolist(), shared.value, margin)
+        lang, code = np.nonzero(total)
+        yield pd.DataFrame({"lang": lang.astype(np.int32), "code": code.astype(np.int32), "n": total[lang, code]})
+
+    told = rows.where(F.col(text).isNotNull()).select(F.col(text).alias("text")).mapInPandas(batches, "lang int, code int, n bigint")
+    found = told.groupBy("lang", "code").agg(F.sum("n").alias("n")).toPandas()
+    counts = base.copy()
+    counts[found["lang"].to_numpy(), found["code"].to_numpy()] += found["n"].to_numpy()
+    letters = (counts - base)[:, 1:].sum(axis=1)
+    counts /= np.maximum(counts.sum(axis=1, keepdims=True), 1) / 1e5  # each language weighs the same
+    return Profiles.fit(counts, 4096, rests_on=letters)
 
 
 @dataclass
@@ -215,6 +255,9 @@ class Reading:
 
 
 _BETA = 12.0
+#: A text in one of the languages scores 0.019 and more a letter with its grown prototype, others up to about 0.011.
+UNKNOWN, LEAST_SCORE, LEAST_LETTERS = "unknown", 0.014, 60
+_FOREIGN = re.compile("[\u0370-\u1dff\u2c00-\u2dff\u3040-\ua7ff\uac00-\ud7ff\uf900-\ufdff]")
 
 
 def _confidence(dots: np.ndarray, letters: float) -> np.ndarray:
@@ -223,14 +266,23 @@ def _confidence(dots: np.ndarray, letters: float) -> np.ndarray:
     return x / x.sum()
 
 
+def _unread(text: str) -> Reading | None:
+    """The reading of a text without a letter of the profiles' alphabet."""
+    return Reading(UNKNOWN, 0.0, [UNKNOWN], [(0, len(text), UNKNOWN, 0.0)]) if any(c.isalpha() for c in text) else None
+
+
 def read_documents(texts: list[str | None], profiles: Profiles, margin: float = 0.05) -> list[Reading | None]:
     """A reading of each text; None where it has no letters. A sentence speaks for another language than the
-    document's only if that wins by ``margin``; neighbours of one language make a segment."""
+    document's only if that wins by ``margin``; neighbours of one language make a segment. A text mostly in letters
+    of another script, or of ``LEAST_LETTERS`` and more that the nearest prototype hardly fits, is in an unknown language.
+    (A prototype that rests on the seed sentences alone can't tell the latter.)"""
     folded = [fold(t) if t else "" for t in texts]
     out: list[Reading | None] = [None] * len(texts)
+    seen = np.zeros(len(texts), bool)
     for s in sentences(folded, profiles):
         cosine = s.cosine
         edges = np.flatnonzero(np.diff(s.doc, prepend=-1))
+        seen[s.doc[edges]] = True
         total = np.add.reduceat(s.dots, edges, axis=0)
         letters = np.add.reduceat(s.letters, edges)
         main = total.argmax(axis=1)
@@ -239,7 +291,15 @@ def read_documents(texts: list[str | None], profiles: Profiles, margin: float =
         best = cosine.argmax(axis=1)
         lead = cosine[np.arange(len(best)), best] - cosine[np.arange(len(best)), own]
         lang = np.where((lead >= margin) & s.whole, best, own)
+        mine = lang == own
+        fit = np.add.reduceat(np.where(mine, s.dots[np.arange(len(own)), own], 0), edges)
+        fitted = np.add.reduceat(np.where(mine, s.letters, 0), edges)
+        poor = profiles.grown[main] & (letters >= LEAST_LETTERS) & (fit < LEAST_SCORE * fitted)
         for k, (a, n) in enumerate(zip(edges, size, strict=True)):
+            text = folded[s.doc[a]]
+            if poor[k] or len(_FOREIGN.findall(text)) > letters[k]:
+                out[s.doc[a]] = Reading(UNKNOWN, 0.0, [UNKNOWN], [(int(s.start[a]), int(s.end[a + n - 1]), UNKNOWN, 0.0)])
+                continue
             part = slice(a, a + n)
             whole = np.bincount(lang[part][s.whole[part]], minlength=len(LANGUAGES))
             held = [LANGUAGES[i] for i in np.flatnonzero(whole >= 2)] or [LANGUAGES[main[k]]]
@@ -249,18 +309,20 @@ def read_documents(texts: list[str | None], profiles: Profiles, margin: float =
                 sure = _confidence(s.dots[x:y].sum(axis=0), float(s.letters[x:y].sum()))
                 segments.append((int(s.start[x]), int(s.end[y - 1]), LANGUAGES[lang[x]], float(sure[lang[x]])))
             out[s.doc[a]] = Reading(LANGUAGES[main[k]], float(_confidence(total[k], float(letters[k]))[main[k]]), held, segments)
+    for i in np.flatnonzero(~seen):
+        if folded[i]:
+            out[i] = _unread(folded[i])
     return out
 
 
 def _apply(rows: DataFrame, profiles: Profiles, key: str, text: str, lang: str, schema: str, emit) -> DataFrame:
-    shared = rows.sparkSession.sparkContext.broadcast(profiles.table)  # alphabet cubed x languages: a fixed size
+    shared = rows.sparkSession.sparkContext.broadcast(profiles)  # alphabet cubed x languages: a fixed size
     source = rows.select(F.col(key).alias("key"), F.col(lang).alias("lang"), F.col(text).alias("text")).where("key is not null")
     kind = source.schema["key"].dataType.simpleString()
 
     def batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = Profiles(shared.value)
         for pdf in it:
-            found = read_documents(pdf["text"].tolist(), own)
+            found = read_documents(pdf["text"].tolist(), shared.value)
             data = [x for k, label, r in zip(pdf["key"], pdf["lang"], found, strict=True) for x in emit(k, label, r)]
             names = [c.split()[0] for c in schema.format(kind=kind).split(", ")]
             yield pd.DataFrame(data, columns=names)
@@ -268,27 +330,32 @@ def _apply(rows: DataFrame, profiles: Profiles, key: str, text: str, lang: str,
     return source.mapInPandas(batches, schema.format(kind=kind))
 
 
-def wrong_labels(rows: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = 3000) -> DataFrame:
+def wrong_labels(rows: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """``doc_id, lang``: each language held by a document whose label is missing, names another language, or that
     holds several. Documents without a word and null ids are no case; null texts have no word; other spellings of
-    the right language are none either. Rows are distinct; empty tables give none; other columns are ignored."""
+    the right language are none either. A document in none of the languages comes out as "unknown" unless its label
+    names such a language. Rows are distinct; empty tables give none; other columns are ignored."""
 
     def emit(key, label, r):
         if r is None:
             return []
-        return [(key, x) for x in r.held] if len(r.held) > 1 or canonical(label) != r.held[0] else []
+        told = canonical(label)
+        if r.main == UNKNOWN:
+            return [(key, UNKNOWN)] if told != "other" else []
+        return [(key, x) for x in r.held] if len(r.held) > 1 or told != r.held[0] else []
 
-    return _apply(rows, fit_profiles(rows, key, text, sample), key, text, lang, "doc_id {kind}, lang string", emit).distinct()
+    return _apply(rows, fit_profiles(rows, text), key, text, lang, "doc_id {kind}, lang string", emit).distinct()
 
 
-def document_languages(rows: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = 3000) -> DataFrame:
-    """``doc_id, label, lang, confidence, held``: the language of each document, null where it has no letters."""
+def document_languages(rows: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """``doc_id, label, lang, confidence, held``: the language of each document, null where it has no letters and
+    "unknown" where it is none of the languages."""
     emit = lambda key, label, r: [(key, label, r and r.main, r and r.confidence, r.held if r else [])]
-    return _apply(rows, fit_profiles(rows, key, text, sample), key, text, lang, "doc_id {kind}, label string, lang string, confidence double, held array<string>", emit)
+    return _apply(rows, fit_profiles(rows, text), key, text, lang, "doc_id {kind}, label string, lang string, confidence double, held array<string>", emit)
 
 
-def language_segments(rows: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = 3000) -> DataFrame:
+def language_segments(rows: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """``doc_id, start, end, lang, confidence``: maximal stretches of one language, as character offsets in the text
     after NFKC and lower-casing. Documents without letters have none."""
     emit = lambda key, label, r: [(key, *s) for s in r.segments] if r else []
-    return _apply(rows, fit_profiles(rows, key, text, sample), key, text, lang, "doc_id {kind}, start int, end int, lang string, confidence double", emit)
+    return _apply(rows, fit_profiles(rows, text), key, text, lang, "doc_id {kind}, start int, end int, lang string, confidence double", emit)

@@ -1,9 +1,8 @@
 """Broken prompt and response pairs: each defective response with the kind of its defect.
 
 Refusals are found by the templates they come from: response openings that name nothing of their prompt are
-clustered by verified MinHash, and a template that recurs across unrelated prompts is a refusal; the wording of
-one who declines is the second evidence, for refusals too rare to recur. Emptiness, copying, language and
-termination are read from each response by itself.
+clustered by verified MinHash, and a template that recurs across unrelated prompts is a refusal, whatever its
+words. Emptiness, copying, language and termination are read from each response by itself.
 """
 
 from __future__ import annotations
@@ -25,20 +24,7 @@ ROWS, BANDS, SHINGLE, SIMILAR, UNRELATED, PART = 4, 32, 5, 0.8, 3, 256
 
 _MARKER = re.compile(r"<\|[^|<>]*\|>|\[/?INST\]|</?s>|<<?/?SYS>>?")
 _QUOTED = re.compile(r"«[^«»]*»|“[^“”]*”|„[^„“”]*[“”]|\"[^\"]*\"")
-_SENTENCE = re.compile(r"(?<=[.!?…])\s+")
 _CLOSERS = " \t\r\n\xa0»”“\"')]*_"
-#: How one declines, in the first person or in the name of rules. Fixed phrases.
-_DECLINES = re.compile(
-    r"\bje ne (?:peux|puis|suis|saurais|donnerai|répondrai|ferai|traiterai|souhaite|veux)\b.{0,40}\bpas\b.{0,60}\b(?:répondre|aider|traiter|donner|demande|requête|question|consigne|texte|mesure|suite)\b"
-    r"|\bje ne (?:peux|puis|suis|saurais|donnerai|répondrai|ferai) pas (?:en mesure|suite|répondre|vous aider|traiter|donner suite)\b"
-    r"|\bil m est impossible de\b|\bje m abstiens\b|\bje (?:dois|préfère) (?:décliner|refuser|m abstenir|ne pas)\b|\bje (?:décline|refuse)\b"
-    r"|\baucune réponse ne (?:sera|peut)\b|\ben tant que (?:modèle|ia|intelligence|assistant)\b|\bon ne m autorise pas\b|\bm est (?:permis|interdit)\b"
-    r"|\bdans mes (?:capacités|attributions|compétences)\b|\bmes règles\b|\bpas quelque chose que je fais\b|\bpas la possibilité de (?:faire|répondre)\b"
-)
-#: Words a French sentence can't end with. Fixed list.
-_HANGING = frozenset("le la les l un une des du de d au aux à et ou mais que qu qui dont car parce afin pour par sur sous dans avec sans chez entre vers en ce cet cette ces son sa ses leur leurs notre nos votre vos mon ma mes chaque selon lorsque lorsqu puisque".split())
-
-
 def words_of(text: str | None) -> list[str]:
     return lexis.words(text)
 
@@ -49,18 +35,24 @@ def bare(text: str | None) -> str:
 
 
 def copies(prompt: list[str], response: list[str]) -> bool:
-    """Whether a response repeats its prompt wholly or nearly, compared word by word; repeating only the passage to
-    rework leaves the instruction out and is no copy."""
+    """Whether a response repeats its prompt wholly or nearly, once or several times over, compared word by word;
+    repeating only the passage to rework leaves the instruction out and is no copy."""
     if len(prompt) < 4 or len(response) < 4:
         return prompt == response and bool(prompt)
+    head = " ".join(prompt[:4]) in " ".join(response[:12])
+    times = round(len(response) / len(prompt))
+    if times > 1 and head:
+        prompt = prompt * times
     low, high = sorted((len(prompt), len(response)))
     if 2 * low / (low + high) < 0.8:
         return False
+    a, b = set(prompt), set(response)
+    if 2 * min(sum(w in b for w in prompt), sum(w in a for w in response)) / (low + high) < 0.8:
+        return False  # no more words than these can match
     matcher = SequenceMatcher(None, prompt, response, autojunk=False)
     if matcher.quick_ratio() < 0.8:
         return False
     ratio = matcher.ratio()
-    head = " ".join(prompt[:4]) in " ".join(response[:12])
     return ratio >= 0.9 or (ratio >= 0.8 and head)
 
 
@@ -78,9 +70,8 @@ def truncated(text: str, terms: set[str]) -> bool:
     if text.endswith("...") or last == "…":
         return True
     if last in (".", "!", "?"):
-        ws = words_of(core)
-        return len(ws) > 3 and ws[-1] in _HANGING and " ".join(ws[-1:]) not in terms
-    if not (last.isalnum()):
+        return False
+    if not last.isalnum():
         return True
     own = " ".join(words_of(core))
     if own in terms:
@@ -96,48 +87,46 @@ def truncated(text: str, terms: set[str]) -> bool:
 
 
 def opening(text: str) -> str:
-    """The words of the first sentence that ends as one, else nothing."""
+    """The words of the first sentence, or of the whole text where it is too short to tell much alone (under four
+    words) or does not end as a sentence."""
     folded = lexis.fold(text)
-    for start, end, _ in language._spans(folded):
-        s = folded[start:end].rstrip()
-        return " ".join(words_of(s)) if s[-1:] in (".", "!", "?") else ""
+    for start, end, _ in language.spans(folded):
+        first = folded[start:end].rstrip()
+        ws = words_of(first) if first[-1:] in (".", "!", "?") else []
+        return " ".join(ws if len(ws) >= 4 else words_of(folded))
     return ""
 
 
-def _feature_rows(pdf: pd.DataFrame, profiles: language.Profiles) -> pd.DataFrame:
-    out = []
+def _feature_rows(pdf: pd.DataFrame, profiles: language.Profiles, expected: str | None) -> pd.DataFrame:
     texts = [bare(t) for t in pdf["response"]]
-    plain_texts = []
-    for t, terms in zip(texts, pdf["terms"], strict=True):
+    terms = [[t for t in ts if t] if ts is not None else [] for ts in pdf["terms"]]
+    plain = []
+    for t, ts in zip(texts, terms, strict=True):
         t = _QUOTED.sub(" ", t)
-        for term in terms if terms is not None else []:
-            if term:
-                t = re.sub(re.escape(term), " ", t, flags=re.I)
-        plain_texts.append(t)
-    spoken = language.read_documents(plain_texts, profiles)
-    for prompt, text, plain, r, terms in zip(pdf["prompt"], texts, plain_texts, spoken, pdf["terms"], strict=True):
-        ws, own = words_of(text), {" ".join(words_of(t)) for t in (terms if terms is not None else []) if t} - {""}
-        kind, first, cue = None, "", False
+        plain.append(re.sub("|".join(re.escape(x) for x in ts), " ", t, flags=re.I) if ts else t)
+    spoken = language.main_languages(plain, profiles)
+    wanted = [expected] * len(texts) if expected else language.main_languages(pdf["prompt"].tolist(), profiles)
+    prompts: dict[str, list[str]] = {}
+    out = []
+    for prompt, text, rest, main, want, ts in zip(pdf["prompt"], texts, plain, spoken, wanted, terms, strict=True):
+        ws, kind, first = words_of(text), None, ""
+        if prompt and prompt not in prompts:
+            prompts[prompt] = words_of(prompt)
         if not ws:
             kind = "empty"
-        elif prompt and copies(words_of(prompt), ws):
+        elif prompt and copies(prompts[prompt], ws):
             kind = "copy"
-        elif r is not None and r.main != "fr" and len(words_of(plain)) >= 4:
+        elif main is not None and want is not None and main != want and len(words_of(rest)) >= 4:
             kind = "other_language"
         else:
+            own = {" ".join(words_of(t)) for t in ts} - {""}
             first = opening(text)
-            if first.count(" ") < 3:
-                first = first and " ".join(ws)  # a short one tells too little alone
-            padded = f" {first} "
-            if any(f" {t} " in padded for t in own):
+            if any(f" {t} " in f" {first} " for t in own):
                 first = ""  # it answers: it names what the prompt is about
-            line = _QUOTED.sub(" ", text.split("\n")[0])
-            # One that names the prompt's term or has no first sentence declines within a sentence, if at all.
-            cue = any(_DECLINES.search(" ".join(words_of(x))) for x in [*([line] if first else []), *_SENTENCE.split(line)])
             if truncated(text, own):
                 kind = "truncated"
-        out.append((kind, first, cue))
-    return pdf[["run_id", "prompt_id", "topic", "side"]].assign(kind=[x[0] for x in out], opening=[x[1] for x in out], cue=[x[2] for x in out])
+        out.append((kind, first))
+    return pdf[["run_id", "prompt_id", "topic", "side"]].assign(kind=[x[0] for x in out], opening=[x[1] for x in out])
 
 
 def _templates(openings: DataFrame) -> DataFrame:
@@ -174,37 +163,36 @@ def _templates(openings: DataFrame) -> DataFrame:
     return openings.select("opening").join(parts, "opening", "left").select("opening", F.coalesce("template", "opening").alias("template"))
 
 
-def broken_pairs(generations: DataFrame, prompts: DataFrame, sides: tuple[str, ...] = ("base", "adapter"), sample: int = 3000) -> DataFrame:
+def broken_pairs(generations: DataFrame, prompts: DataFrame, sides: tuple[str, ...] = ("base", "adapter"), expected: str | None = "fr") -> DataFrame:
     """``run_id, prompt_id, side, defect`` with one defect for each defective response: empty, copy, other_language,
-    refusal or truncated, the first that holds in this order.
+    refusal or truncated, the first that holds in this order. ``expected`` is the language responses are to be in;
+    None asks for that of each prompt.
 
     A null response is empty. A response whose prompt is missing can't be a copy. Repeated rows come out once; an
     empty table gives none; a null run_id or prompt_id is kept; other columns are ignored. A prompt_id with
-    several prompts takes the least of them. The language profiles are refined on a bounded sample of ``sample``
-    responses (see language.fit_profiles).
+    several prompts takes the least of them.
     """
     asked = prompts.where("prompt_id is not null").groupBy("prompt_id").agg(F.min("prompt").alias("prompt"))
     terms = F.array_distinct(F.concat(F.coalesce("expected_terms", F.array().cast("array<string>")), F.coalesce("forbidden_terms", F.array().cast("array<string>"))))
     cases = F.array(*[F.struct(F.lit(s).alias("side"), F.col(f"{s}_response").alias("response")) for s in sides])
     rows = generations.select("run_id", "prompt_id", F.coalesce("lexical_pair_id", "prompt_id").alias("topic"), terms.alias("terms"), F.inline(cases))
-    profiles = language.fit_profiles(rows, "response", "response", sample)
-    shared = generations.sparkSession.sparkContext.broadcast(profiles.table)
+    profiles = language.fit_profiles(rows.select("response").union(asked.select("prompt")), "response")
+    shared = generations.sparkSession.sparkContext.broadcast(profiles)  # alphabet cubed x languages: a fixed size
     rows = rows.join(asked, "prompt_id", "left")
 
     def batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = language.Profiles(shared.value)
         for pdf in it:
-            yield _feature_rows(pdf, own)
+            yield _feature_rows(pdf, shared.value, expected)
 
-    schema = "run_id string, prompt_id string, topic string, side string, kind string, opening string, cue boolean"
+    schema = "run_id string, prompt_id string, topic string, side string, kind string, opening string"
     read = written(rows.select("run_id", "prompt_id", "topic", "side", "prompt", "response", "terms").mapInPandas(batches, schema), "responses")
-    candidates = read.where("opening <> ''")
+    candidates = read.where("opening <> ''").groupBy("opening", "topic").agg(F.count(F.lit(1)).alias("n"))
     templates = written(_templates(candidates.select("opening").distinct()), "templates")
-    spread = candidates.join(templates, "opening").groupBy("template").agg(F.countDistinct("topic").alias("topics"), F.max("cue").alias("cue"))
-    recurring = spread.where(F.col("cue") | (F.col("topics") >= UNRELATED)).select("template")
+    spread = candidates.join(templates, "opening").groupBy("template").agg(F.countDistinct("topic").alias("topics"))
+    recurring = spread.where(F.col("topics") >= UNRELATED).select("template")
     refusing = templates.join(recurring, "template", "left_semi").select("opening", F.lit(True).alias("refuses"))
     judged = read.join(refusing, "opening", "left")
-    defect = F.when(F.col("kind").isin("empty", "copy", "other_language"), F.col("kind")).when(F.col("refuses") | F.col("cue"), "refusal").otherwise(F.col("kind"))
+    defect = F.when(F.col("kind").isin("empty", "copy", "other_language"), F.col("kind")).when(F.col("refuses"), "refusal").otherwise(F.col("kind"))
     return judged.select("run_id", "prompt_id", "side", defect.alias("defect")).where("defect is not null").distinct()
 
 

@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 
 from boreal.llm import language as L
@@ -14,8 +15,7 @@ HELD_OUT = {
 
 @pytest.fixture(scope="module")
 def profiles():
-    seeds = [L.fold(L.SEEDS[k]) for k in L.LANGUAGES]
-    return L.Profiles.fit(L._counts(seeds, list(range(6)), 6), 2048)
+    return L.Profiles.fit(L.seed_counts(), 2048)
 
 
 def test_held_out_sentences(profiles):
@@ -43,6 +43,19 @@ def test_mixed_documents_and_quotes(profiles):
     assert L.read_documents([quoted], profiles)[0].held == ["fr"]
 
 
+def test_other_languages_are_unknown_not_the_nearest_one(profiles):
+    texts = [
+        "Kaupunginvaltuusto esitteli uuden hankkeen naapuruston perheille. Näimme että talo oli tyhjä, mutta se korjataan ennen talvea.",
+        "Городской совет представил новый проект для семей района. Мы видели, что дом пуст.",
+        "Ο δήμος παρουσίασε ένα νέο έργο. Voir la page.",
+    ]
+    grown = L.Profiles(profiles.table, np.ones(6, bool))
+    assert [r.main for r in L.read_documents(texts, grown)] == ["unknown"] * 3
+    assert [r.main for r in L.read_documents([HELD_OUT["fr"], HELD_OUT["de"]], grown)] == ["fr", "de"]
+    assert [r.main for r in L.read_documents(list(HELD_OUT.values()), profiles)] == list(HELD_OUT)
+    assert L.main_languages([*HELD_OUT.values(), None, "12"], profiles) == [*HELD_OUT, None, None]
+
+
 def test_labels():
     assert [L.canonical(x) for x in ("fr-CA", " FR_ca", "fra", "English", "pt")] == ["fr", "fr", "fr", "en", "pt"]
     assert [L.canonical(x) for x in (None, "", "  ", "unknown", "und", "-")] == [None] * 6
@@ -51,17 +64,17 @@ def test_labels():
 
 def test_sentences_are_cut_at_ends_and_titles_are_not_ends():
     text = "m. tremblay parle de la ville. il s'en va.\nliste ; de ; mots\nfin de tout cela!"
-    assert [text[a:b].strip() for a, b, _ in L._spans(text)] == ["m. tremblay parle de la ville.", "il s'en va.", "liste ; de ; mots", "fin de tout cela!"]
-    assert [w for *_, w in L._spans(text)] == [True, False, False, True]
+    assert [text[a:b].strip() for a, b, _ in L.spans(text)] == ["m. tremblay parle de la ville.", "il s'en va.", "liste ; de ; mots", "fin de tout cela!"]
+    assert [w for *_, w in L.spans(text)] == [True, False, False, True]
 
 
 def test_wrong_labels_on_a_frame(spark):
     rows = [(i, t, lang, "x") for i, (lang, t) in enumerate(HELD_OUT.items())]
     rows += [(10, HELD_OUT["fr"], "en-CA", "x"), (11, HELD_OUT["fr"], None, "x"), (12, "", None, "x"), (13, None, "fr", "x"), (14, "*** — 1.", "fr", "x"), (15, HELD_OUT["fr"] + "\n" + HELD_OUT["en"], "fr", "x"),
-             (None, HELD_OUT["fr"], "de", "x"), (16, HELD_OUT["fr"], " FR-ca", "x"), (10, HELD_OUT["fr"], "en-CA", "x"), (17, (HELD_OUT["fr"] + " ") * 2000, "it", "x")]
+             (None, HELD_OUT["fr"], "de", "x"), (16, HELD_OUT["fr"], " FR-ca", "x"), (18, "Городской совет представил проект.", "fr", "x"), (19, "Городской совет представил проект.", "ru", "x"), (10, HELD_OUT["fr"], "en-CA", "x"), (17, (HELD_OUT["fr"] + " ") * 2000, "it", "x")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, key string")
     got = sorted(tuple(r) for r in L.wrong_labels(df).collect())
-    assert got == [(10, "fr"), (11, "fr"), (15, "en"), (15, "fr"), (17, "fr")]
+    assert got == [(10, "fr"), (11, "fr"), (15, "en"), (15, "fr"), (17, "fr"), (18, "unknown")]
     assert L.wrong_labels(df.limit(0)).collect() == []
     whole = {r["doc_id"]: r["lang"] for r in L.document_languages(df).collect()}
     assert whole[12] is None and whole[13] is None and whole[10] == "fr"

@@ -18,8 +18,7 @@ def test_kinds_of_defects(spark):
         (PROMPT, "copy"), (PROMPT.upper(), "copy"), ("Question : " + PROMPT, "copy"), (PROMPT.replace(" ", "\xa0").replace(".", " …"), "copy"),
         ("The preferred word is \"traversier\". When the council opened the market, every neighbour was pleased with it.", "other_language"),
         ("La palabra preferida es «traversier». El consejo abrió el mercado y todos los vecinos estaban contentos.", "other_language"),
-        ("Je suis désolé, mais je ne peux pas répondre à cette demande.", "refusal"), ("Il m'est impossible de traiter cette requête. Merci.", "refusal"),
-        ("En tant que modèle de langue, je n'ai pas la possibilité de faire ce choix.", "refusal"),
+        (PROMPT + "\n" + PROMPT, "copy"), (PROMPT + " " + PROMPT + " " + PROMPT, "copy"),
         ("Le mot « traversier » se comprend partout. Le conseil a ouvert un mar", "truncated"), ("On retient « traversier ». Le conseil a décidé parce que", "truncated"),
         ("Voici la phrase : « Le maire a commandé un manteau.", "truncated"), ("Le terme convient, mais chaque,", "truncated"),
         ("traversier", None), ("« traversier »", None), ("Le terme retenu : traversier", None), ("Plutôt « traversier »!", None), ("On retient « traversier ».", None),
@@ -57,10 +56,24 @@ def test_alike_openings_share_a_template_whatever_their_bands_hold(spark):
     assert len(set(got.values())) == len(unlike) + 1
 
 
-def test_short_refusals_and_those_that_name_the_term(spark):
-    cases = [
-        ("Je refuse.", "refusal"), ("Je m'abstiens.", "refusal"), ("Désolé. Je ne peux pas répondre.", "refusal"),
-        ("Je ne peux pas répondre à cette question", "refusal"), ("Je ne peux pas répondre à la question sur « traversier » ou traversier.", "refusal"),
-        ("Oui. On retient « traversier ».", None), ("Je ne peux pas venir, mais le traversier sera prêt. Ma demande de mars est là.", None),
-    ]
-    assert run(spark, [r for r, _ in cases]) == [k for _, k in cases]
+def recurring(spark, responses, **options):
+    """Each response as answer to four unrelated prompts; the kinds it gets there."""
+    rows = [(f"r{i}", f"p{i}-{k}", f"pair{i}", [f"mot{i}"], ["x"], r, f"On retient « mot{i} ».") for i in range(4) for k, r in enumerate(responses)]
+    gens = spark.createDataFrame(rows, "run_id string, prompt_id string, lexical_pair_id string, expected_terms array<string>, forbidden_terms array<string>, base_response string, adapter_response string")
+    asked = spark.createDataFrame([(f"p{i}-{k}", f"Quel mot faut-il pour le lot {i}, page {k}?") for i in range(4) for k in range(len(responses))], "prompt_id string, prompt string")
+    got = {}
+    for r in pairs.broken_pairs(gens, asked, **options).collect():
+        got.setdefault(int(r["prompt_id"].split("-")[1]), set()).add(r["defect"])
+    return [got.get(k, set()) for k in range(len(responses))]
+
+
+def test_short_refusals_and_those_without_an_end(spark):
+    cases = ["Je refuse.", "Je m'abstiens.", "Désolé. Je ne peux pas répondre.", "Je ne peux pas répondre à cette question", "Pour ce mot, voir la page mot0 mot1 mot2 mot3."]
+    assert recurring(spark, cases) == [{"refusal"}] * 4 + [set()]
+
+
+def test_language_by_parameter_or_by_prompt(spark):
+    english = "The town council opened the market and every neighbour was pleased with mot0 mot1 mot2 mot3. We thank all of them for this."
+    assert recurring(spark, [english]) == [{"other_language"}]
+    assert recurring(spark, [english], expected="en") == [set()]
+    assert recurring(spark, [english], expected=None) == [{"other_language"}]
