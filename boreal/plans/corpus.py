@@ -122,7 +122,12 @@ def event_first_seen(spark, d):
     return dedup.first_wins(own, ["event_type", "user_id"], ["event_id"])
 
 
-@query()
+@query(
+    f"""with recursive k as (select doc_id, row_number() over (order by doc_id) as i, md5(coalesce({S.norm('text')}, chr(0))) as k from documents),
+r(i, seen, fresh) as (select 0::bigint, []::varchar[], false union all
+ select k.i, case when list_contains(seen, k.k) then seen when len(seen) >= 199 then [] else list_append(seen, k.k) end, not list_contains(seen, k.k) from r join k on k.i = r.i + 1)
+select doc_id, sha256({S.norm('text')}) as k from documents where doc_id in (select doc_id from k join r using (i) where fresh)"""
+)
 def forgetful_dedup(spark, d):
     """Normalized dedup with a memory of 200 texts."""
     own = _documents(spark, d).select("doc_id", X.sha(X.norm_key("text")).alias("k"))

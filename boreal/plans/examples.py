@@ -117,7 +117,14 @@ def instruct_candidates(spark, d):
     return _candidates(spark, d).select("doc_id", "rank", "task_type", "example_sha256", "example_norm_sha256")
 
 
-@query()
+@query(
+    f"""with recursive made as ({_candidate_sql()}),
+c as (select *, row_number() over (order by doc_id, rank) as i, hash(example_norm_sha256) as h from made),
+r(i, doc_id, taken, seen, kept) as (select 0::bigint, null::bigint, 0, []::ubigint[], false union all
+ select c.i, c.doc_id, (case when c.doc_id is not distinct from r.doc_id then taken else 0 end) + (case when ok then 1 else 0 end), case when ok then list_append(seen, c.h) else seen end, ok
+ from (select r.*, c.i as ci, not list_contains(seen, c.h) and (case when c.doc_id is not distinct from r.doc_id then taken else 0 end) < 3 as ok from r join c on c.i = r.i + 1) r join c on c.i = r.ci)
+select c.doc_id, rank, task_type, example_sha256 from c join r using (i) where kept"""
+)
 def instruct_examples(spark, d):
     """Examples deduplicated, at most three a document."""
     own = _documents(spark, d).where("text is not null").select("doc_id", "text")
