@@ -120,6 +120,19 @@ def packed(
     return routed.groupBy("shard").applyInPandas(fill, f"`{key}` {kind}, piece int, source string, first_token bigint, tokens bigint, container bigint")
 
 
+def whole_items(containers: DataFrame, key: str = "doc_id", capacity: int = CAPACITY) -> DataFrame:
+    """``<key>, within_capacity, contiguous, kept_whole`` of each item: whether none of its containers is beyond the
+    capacity, its pieces follow one another from the first token on, each once, and it was cut only if it had to be
+    (every piece but the last full). Keys must be unique."""
+    filled = containers.withColumn("filled", F.sum("tokens").over(Window.partitionBy("container")))  # a window holds one container
+    piece = F.struct("piece", "first_token", "tokens")
+    rows = filled.groupBy(key).agg(F.max("filled").alias("filled"), F.array_sort(F.collect_list(piece)).alias("pieces"))
+    at = lambda x, i: (x["piece"] == i) & (x["first_token"] == i.cast("bigint") * capacity)
+    full = F.forall(F.slice("pieces", 1, F.greatest(F.size("pieces") - 1, F.lit(0))), lambda x: x["tokens"] == capacity)
+    good = F.forall(F.transform("pieces", lambda x, i: at(x, i)), lambda ok: ok)
+    return rows.select(key, (F.col("filled") <= capacity).alias("within_capacity"), good.alias("contiguous"), full.alias("kept_whole"))
+
+
 def fill_report(containers: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``containers, items, tokens, fill``: how full the containers are; with no rows, zeros and a null fill."""
     each = containers.groupBy("container").agg(F.count(F.lit(1)).alias("items"), F.sum("tokens").alias("tokens"))

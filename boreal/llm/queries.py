@@ -70,6 +70,10 @@ def p7_packed(spark: SparkSession, d: str) -> DataFrame:
     return packing.packed(table(spark, d, "documents"))
 
 
+def p7_whole(spark: SparkSession, d: str) -> DataFrame:
+    return packing.whole_items(packing.packed(table(spark, d, "documents")))
+
+
 def p7_fill(spark: SparkSession, d: str) -> DataFrame:
     return packing.fill_report(packing.packed(table(spark, d, "documents")))
 
