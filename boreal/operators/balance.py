@@ -88,6 +88,14 @@ def first_per_key(df: DataFrame, key: str, order: Sequence[str], most: int) -> D
     return ranked.where(F.col("__n") <= most).drop("__n")
 
 
+def limit_per_source(df: DataFrame, source: str, order: Sequence[str], most: int | None = None, own: Column | None = None) -> DataFrame:
+    """The first rows of each source in order, at most the least of how many there are, ``most`` and the source's
+    ``own`` limit (null for none)."""
+    limit = F.least(F.lit(most).cast("int"), own.cast("int")) if own is not None else F.lit(most).cast("int")
+    ranked = df.withColumn("__limit", limit).withColumn("__n", F.row_number().over(Window.partitionBy(source).orderBy(*order)))
+    return ranked.where(F.col("__limit").isNull() | (F.col("__n") <= F.col("__limit"))).drop("__n", "__limit")
+
+
 def top_codes(df: DataFrame, by: Sequence[str], code: str, order: str, most: int) -> DataFrame:
     """The most frequent codes of each group; ties go to the code met first."""
     counted = df.groupBy(*by, code).agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first_seen"))

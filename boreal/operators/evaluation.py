@@ -12,16 +12,18 @@ from boreal.functions.text import has_any
 from boreal.operators.rules import reasons
 
 
-def term_score(response: Column, wanted: Column, unwanted: Column) -> Column:
-    """+1 for any wanted term, -1 for any unwanted one, as whole words; a null response has neither."""
+def term_score(response: Column, wanted: Column, unwanted: Column, bonus: Column | None = None) -> Column:
+    """+1 for any wanted term, -1 for any unwanted one, as whole words; a null response has neither. ``bonus`` is a term
+    whose presence is told but adds nothing."""
     text = F.coalesce(response, F.lit(""))
     good, bad = has_any(text, wanted), has_any(text, unwanted)
-    return F.struct((good.cast("int") - bad.cast("int")).alias("score"), good.alias("preferred_hit"), bad.alias("forbidden_hit"))
+    hit = F.lit(False) if bonus is None else has_any(text, F.array(F.coalesce(bonus, F.lit(""))))
+    return F.struct((good.cast("int") - bad.cast("int")).alias("score"), good.alias("preferred_hit"), bad.alias("forbidden_hit"), hit.alias("bonus_hit"))
 
 
-def rescore(df: DataFrame, responses: Sequence[str], wanted: str, unwanted: str) -> DataFrame:
+def rescore(df: DataFrame, responses: Sequence[str], wanted: str, unwanted: str, bonus: Column | None = None) -> DataFrame:
     """Adds ``<response>_score`` structs for each response column."""
-    return df.withColumns({f"{r}_score": term_score(F.col(r), F.col(wanted), F.col(unwanted)) for r in responses})
+    return df.withColumns({f"{r}_score": term_score(F.col(r), F.col(wanted), F.col(unwanted), bonus) for r in responses})
 
 
 def score_deltas(df: DataFrame, base: Column, adapter: Column, keys: Sequence[str]) -> DataFrame:

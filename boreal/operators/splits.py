@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,10 +29,21 @@ def split_counts(total: int, ratios: Mapping[str, float], fill: bool = True) ->
     return {"train": train, "dev": dev, "test": total - train - dev}
 
 
-def shuffled_split(df: DataFrame, key: str, seed: int, ratios: Mapping[str, float], fill: bool = False) -> DataFrame:
+def curated_counts(total: int, ratios: Mapping[str, float], allow_empty: bool = True) -> tuple[dict[str, int], list[str]]:
+    """``(counts, issues)`` of a curated split: train and dev rounded down, test the rest; an empty train takes a row from
+    dev, else from test; empty dev or test of three rows and more is an issue unless it is allowed."""
+    out = split_counts(total, ratios, fill=False)
+    if total and not out["train"]:
+        donor = "dev" if out["dev"] else "test"
+        out = {**out, "train": 1, donor: out[donor] - 1}
+    empty = total >= 3 and not (out["dev"] and out["test"])
+    return out, ["empty_dev_or_test"] if empty and not allow_empty else []
+
+
+def shuffled_split(df: DataFrame, key: str, seed: int, ratios: Mapping[str, float], fill: bool = False, counting: Callable[[int], Mapping[str, int]] | None = None) -> DataFrame:
     """Rows in the order of their seeded hash, cut at the splits' counts. A row's place in the global order is its
     place in its hash prefix's bucket plus the rows of the buckets before: 4096 counts are summed on the driver, and
-    no window spans the table."""
+    no window spans the table. ``counting`` replaces the rule that turns the number of rows into the splits' counts."""
     hashed = df.withColumn("__h", sha(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"))))
     hashed = hashed.withColumn("__b", F.conv(F.substring("__h", 1, 3), 16, 10).cast("int"))
     sizes = {r["__b"]: r["count"] for r in hashed.groupBy("__b").count().collect()}
@@ -40,7 +51,7 @@ def shuffled_split(df: DataFrame, key: str, seed: int, ratios: Mapping[str, floa
     for b in range(4096):
         start.append(before)
         before += sizes.get(b, 0)
-    counts = split_counts(before, ratios, fill)
+    counts = counting(before) if counting else split_counts(before, ratios, fill)
     offset = F.element_at(F.array(*[F.lit(x) for x in start]), F.col("__b") + 1)
     place = offset + F.row_number().over(Window.partitionBy("__b").orderBy("__h", key))
     split = F.when(F.col("__n") <= counts["train"], "train").when(F.col("__n") <= counts["train"] + counts["dev"], "dev").otherwise("test")

@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from boreal.plans import corpus, examples, streams
+from boreal.plans import corpus, examples, packs, streams
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {**corpus.Q, **examples.Q, **streams.Q}
+    return {**corpus.Q, **examples.Q, **packs.Q, **streams.Q}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**corpus.SQL, **examples.SQL, **streams.SQL}
+    return {**corpus.SQL, **examples.SQL, **packs.SQL, **streams.SQL}

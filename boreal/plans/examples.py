@@ -454,30 +454,63 @@ def preference_grid(spark, d):
     return lexical.preference_grid(_pairs(spark, d), 10).drop("messages")
 
 
+_TASKS_ASKED = {k: f"{t} Contexte : {lexical.PROMPT_CONTEXTS[i % 5]}." for i, (k, t) in enumerate(lexical.EVAL_TASKS.items())}
+
+
 @query(
     f"""select regexp_replace(regexp_replace(lower(pair_id), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') || '-' || printf('%02d', task_no) as prompt_id, pair_id, task_type,
 replace(replace(template, '{{source}}', source), '{{preferred}}', preferred) as prompt, [preferred] as expected_terms, [source] as forbidden_terms
-from {_PAIRS} p, (values {', '.join(f'({i}, {S.quote(k)}, {S.quote(t)})' for i, (k, t) in enumerate(lexical.EVAL_TASKS.items(), 1))}) t(task_no, task_type, template)"""
+from {_PAIRS} p, (values {', '.join(f'({i}, {S.quote(k)}, {S.quote(t)})' for i, (k, t) in enumerate(_TASKS_ASKED.items(), 1))}) t(task_no, task_type, template)"""
 )
 def eval_prompt_grid(spark, d):
     return lexical.eval_prompts(_pairs(spark, d))
 
 
+_OVERRIDES = [("balado", "baladodiffusion", ["podcast", "pod-cast"], True), ("spam", None, [], True)]
+
+
 def _mined_sql() -> str:
-    user = "case when v % 2 = 0 then '« ' || source || ' » ou « ' || preferred || ' »?' else 'Pourquoi « ' || preferred || ' » et non « ' || source || ' »?' end"
+    forms = ", ".join(f"({S.quote(k)}, {i}, {len(v)}, {S.quote(u)}, {S.quote(a)})" for k, v in lexical.MINED.items() for i, (u, a) in enumerate(v))
+    pick = lambda xs: f"([{', '.join(S.quote(x) for x in xs)}])[draw % {len(xs)} + 1]"
+    fill = lambda c: f"replace(replace(replace(replace({c}, '{{context}}', context), '{{source}}', source), '{{preferred}}', preferred), '{{forbidden}}', forbidden)"
     return f"""with f as (select distinct prompt_id, task_type, lexical_pair_id from {_FAILURES} where len(reasons) > 0),
-p as (select f.*, source, preferred, greatest(1, case task_type when 'rewrite' then 4 when 'correction' then 3 else 2 end) as k from f join {_PAIRS} q on q.pair_id = f.lexical_pair_id),
-v as (select *, unnest(range(0, k)) as v from p),
-m as (select *, '<|im_start|>user' || chr(10) || {user} || chr(10) || '<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10) || '« ' || preferred || ' ».' || chr(10) || '<|im_end|>' as example_text from v),
-i as (select *, prompt_id || ':' || task_type || ':' || v::varchar || ':' || substr(sha256(example_text), 1, 10) as example_id from m)
-select distinct example_id, prompt_id, task_type, v::int as variant, case when {S.unit("'42:' || example_id")} < 0.8 then 'train' else 'dev' end as split, example_text from i"""
+q as (select f.*, source, case when key = 'balado' then 'baladodiffusion' else preferred end as preferred, case when key = 'balado' then 'podcast, pod-cast' else source end as forbidden, key in ('balado', 'spam') as digital
+ from (select f.*, regexp_replace(lexical_pair_id, '^[^:]*:', '') as key from f) f join {_PAIRS} q on q.pair_id = f.lexical_pair_id),
+v as (select *, unnest(range(0, greatest(1, case task_type when 'rewrite' then 4 when 'correction' then 3 else 2 end))) as variant from q),
+d as (select v.*, ('0x' || substr(sha256('42:' || prompt_id || ':' || variant), 1, 8))::bigint as draw, user_, assistant from v join (values {forms}) t(task_type, form, forms, user_, assistant) on t.task_type = v.task_type and v.variant % forms = form),
+c as (select *, case when digital then {pick(lexical.DIGITAL_CONTEXTS)} else {pick(lexical.GENERAL_CONTEXTS)} end as context from d),
+m as (select *, '<|im_start|>user' || chr(10) || {fill('user_')} || chr(10) || '<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10) || {fill('assistant')} || chr(10) || '<|im_end|>' as example_text from c),
+w as (select * from m qualify row_number() over (partition by example_text order by lexical_pair_id, prompt_id, task_type, variant) = 1),
+i as (select *, prompt_id || ':' || task_type || ':' || variant || ':' || substr(sha256(example_text), 1, 10) as example_id from w)
+select example_id, prompt_id, lexical_pair_id, task_type, variant::int as variant, case when {S.unit("'42:' || example_id")} < 0.8 then 'train' else 'dev' end as split, example_text from i"""
 
 
 @query(_mined_sql())
 def failure_mining(spark, d):
-    """Examples from the prompts an adapter fails, more of them for some tasks."""
-    failed = _failed(spark, d).select("prompt_id", "task_type", F.col("lexical_pair_id").alias("pair_id")).distinct().join(_pairs(spark, d), "pair_id")
-    return lexical.mined_examples(failed, 2, {"rewrite": 2.0, "correction": 1.5})
+    """Examples from the prompts an adapter fails, more of them for some tasks, with overrides for two pairs."""
+    failed = _failed(spark, d).select("prompt_id", "task_type", "lexical_pair_id").distinct().join(_pairs(spark, d).withColumnRenamed("pair_id", "lexical_pair_id"), "lexical_pair_id")
+    overrides = spark.createDataFrame(_OVERRIDES, "pair_key string, preferred string, forbidden array<string>, digital boolean")
+    own = lexical.with_overrides(failed.withColumn("forbidden", F.array("source")), overrides)
+    return lexical.mined_examples(own, 2, {"rewrite": 2.0, "correction": 1.5})
+
+
+@query(
+    f"""select prompt_id, run_id, adapter_response is not null and bonus <> '' and regexp_matches({_PAD.format(r='adapter_response')}, '[^\\p{{L}}\\p{{N}}_]' || regexp_escape(bonus) || '[^\\p{{L}}\\p{{N}}_]') as bonus_hit
+from (select g.prompt_id, run_id, adapter_response, lower(trim(coalesce(bonus, ''))) as bonus from base_vs_adapter_generations g left join (select prompt_id, min(scoring.exact_preferred_bonus) as bonus from eval_prompts where prompt_id is not null group by prompt_id) p using (prompt_id))"""
+)
+def bonus_hits(spark, d):
+    """Whether a response names the term its prompt prefers."""
+    asked = table(spark, d, "eval_prompts").where("prompt_id is not null").groupBy("prompt_id").agg(F.min("scoring.exact_preferred_bonus").alias("bonus"))
+    score = evaluation.term_score(F.col("adapter_response"), F.col("expected_terms"), F.col("forbidden_terms"), F.col("bonus"))
+    return _generations(spark, d).join(asked, "prompt_id", "left").select("prompt_id", "run_id", score["bonus_hit"].alias("bonus_hit"))
+
+
+@query(
+    f"""select prompt_id, coalesce(list_filter(forbidden_terms, lambda t: {S.norm('t')} <> {S.norm('expected_terms[1]')})[1], forbidden_terms[1], expected_terms[1]) as rejected from (select distinct prompt_id, forbidden_terms, expected_terms from eval_prompts)"""
+)
+def rejected_terms(spark, d):
+    own = table(spark, d, "eval_prompts").select("prompt_id", "forbidden_terms", "expected_terms").distinct()
+    return own.select("prompt_id", lexical.rejected_term(F.col("forbidden_terms"), F.try_element_at("expected_terms", F.lit(1))).alias("rejected"))
 
 
 #: Sentences a pair's terms stand in, one side each.

@@ -235,10 +235,10 @@ def test_lexical(spark):
     assert len(rows) == 2 * 4 * 10 == len({r["example_id"] for r in rows})
     assert not {r["template_id"] for r in rows if r["split"] == "dev"} & {r["template_id"] for r in rows if r["split"] == "train"}
     assert lexical.eval_prompts(df).count() == 10
-    failed = df.select(F.lit("q").alias("prompt_id"), F.lit("rewrite").alias("task_type"), "source", "preferred").limit(1)
-    mined = lexical.mined_examples(failed, 3, {"rewrite": 1.5})
-    assert mined.count() == 4
-    assert lexical.mined_examples(failed, 3, {"rewrite": 1.5}, most=2).count() == 2
+    failed = df.select(F.lit("q").alias("prompt_id"), F.col("pair_id").alias("lexical_pair_id"), F.lit("direct_preference").alias("task_type"), "source", "preferred", F.array("source").alias("forbidden")).limit(1)
+    mined = lexical.mined_examples(failed, 3, {"direct_preference": 1.5})
+    assert 2 <= mined.count() <= 4
+    assert lexical.mined_examples(failed, 3, {"direct_preference": 1.5}, most=2).count() == 2
     last = lexical.latest_by_key(spark.createDataFrame([("a", 1, "x"), ("a", 2, "y")], "k string, o int, v string"), "k", ["o"]).first()
     assert last["v"] == "y"
 

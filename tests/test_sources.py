@@ -20,22 +20,78 @@ def test_json_lines_round_trip(spark, tmp_path):
 
 def test_text_sources(spark, tmp_path):
     (tmp_path / "a.txt").write_text("Un\nde\n\nDeux trois\n", encoding="utf-8")
-    assert [(r["line_no"], r["line"]) for r in readers.text_lines(spark, str(tmp_path / "a.txt")).orderBy("line_no").collect()] == [(0, "Un"), (1, "de"), (2, ""), (3, "Deux trois"), (4, "")]
+    assert [(r["line_no"], r["line"]) for r in readers.text_lines(spark, str(tmp_path / "a.txt")).orderBy("line_no").collect()] == [(0, "Un"), (1, "de"), (2, ""), (3, "Deux trois")]
     parts = readers.text_segments(spark, str(tmp_path / "a.txt"), 3)
     assert [r["text"] for r in parts.orderBy("segment_no").collect()] == ["Un de", "Deux trois"]
     ids = [r["record_id"] for r in readers.corpus_records(parts, "src", ["segment_no"]).orderBy("segment_no").collect()]
     assert ids[0].startswith("src:000001:") and len(ids[0].split(":")[2]) == 12
     (tmp_path / "b.jsonl").write_text('{"content": " x "}\n[1]\noops\n{"text": "", "body": "y"}\n')
     rows, issues = readers.json_text(spark, str(tmp_path / "b.jsonl"))
-    assert sorted(r["text"] for r in rows.collect()) == ["x", "y"] and issues.count() == 1
+    assert sorted(r["text"] for r in rows.collect()) == ["x", "y"] and [(r["line_no"], r["issue"]) for r in issues.collect()] == [(2, "invalid_jsonl_line")]
+    rows, issues = readers.located_json(spark, str(tmp_path / "b.jsonl"), "content string, body string")
+    assert [(r["line_no"], r["content"], r["body"]) for r in rows.orderBy("line_no").collect()] == [(0, " x ", None), (3, None, "y")]
+    assert [(r["line_no"], r["issue"]) for r in issues.orderBy("line_no").collect()] == [(1, "not_an_object"), (2, "invalid_json")]
     (tmp_path / "c.csv").write_text("titre,text\nun,\n,deux\n")
-    assert sorted(r["text"] for r in readers.csv_text(spark, str(tmp_path / "c.csv")).collect()) == ["deux", "un"]
+    assert sorted(r["text"] for r in readers.csv_text(spark, str(tmp_path / "c.csv"))[0].collect()) == ["deux", "un"]
+    assert [r["issue"] for r in readers.csv_text(spark, str(tmp_path / "c.csv"), min_chars=3)[1].collect()] == ["csv_text_too_short"]
+    assert readers.csv_rows(spark, str(tmp_path / "c.csv"), ["titre"]).count() == 2
     (tmp_path / "p.json").write_text(json.dumps({"approved_sources": [{"source_id": "a"}, "b"]}))
     assert readers.granted_sources(str(tmp_path / "p.json")) == {"a", "b"}
     with pytest.raises(ValueError):
         readers.require_columns(rows, ["missing"])
 
 
+def test_lines_of_a_file_read_in_many_splits(spark, tmp_path):
+    want = [f"ligne {i} " + "x" * (i % 90) for i in range(5000)]
+    (tmp_path / "g.txt").write_text("\r\n".join(want), encoding="utf-8")
+    (tmp_path / "h.txt").write_text("seule", encoding="utf-8")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 40_000)
+    try:
+        rows = readers.text_lines(spark, str(tmp_path)).orderBy("file", "line_no").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [(r["line_no"], r["line"]) for r in rows] == [*enumerate(want), (0, "seule")]
+
+
+def test_documents_bundles_and_paths(spark, tmp_path):
+    (tmp_path / "one.json").write_text('{"k": "a"}')
+    (tmp_path / "many.json").write_text('[{"k": "b"}, {"k": "c"}]')
+    (tmp_path / "rows.jsonl").write_text('{"k": "d"}\n\n{"k": "e"}\n')
+    paths = [str(tmp_path / x) for x in ("one.json", "many.json", "rows.jsonl")]
+    assert sorted(r["k"] for r in readers.json_documents(spark, paths, "k string").collect()) == list("abcde")
+    (tmp_path / "t.txt").write_text("Un paragraphe.\n\nDeux paragraphes.\n\nun  paragraphe.\n• Trois", encoding="utf-8")
+    granted = spark.createDataFrame([("ok",), (None,)], "source_id string")
+    pattern = [str(tmp_path / "*.txt")]
+    rows = readers.text_bundle(spark, [("ok", pattern, 5), ("no", pattern, None)], granted, 3, 2).collect()
+    assert [(r["source_id"], r["text"]) for r in rows] == [("ok", "Un paragraphe."), ("ok", "Deux paragraphes.")]
+    assert readers.text_bundle(spark, [("ok", pattern, None)], granted, 3).count() == 3
+    sources = spark.createDataFrame([("a", str(tmp_path / "*.txt"), "local_text"), ("b", str(tmp_path / "gone"), "local_csv"), ("c", "https://x.example", "remote"), ("d", None, "local_text")], "source_id string, path string, source_type string")
+    assert sorted(r["source_id"] for r in readers.missing_paths(spark, sources).collect()) == ["b", "d"]
+    assert readers.mapping(paths[0]) == {"k": "a"}
+    with pytest.raises(ValueError):
+        readers.mapping(paths[1])
+    curated = spark.createDataFrame([(None, None, None), ("accepted", 0.5, None)], "curation_label string, curation_score double, example_id string")
+    assert readers.detect_format(curated) == "curated" and readers.detect_format(curated.limit(0)) == "unknown"
+
+
+def test_exports(spark, tmp_path):
+    df = spark.createDataFrame([("1", "a"), ("2", "b")], "example_id string, text string")
+    parts = {"train": df, "dev": df.limit(0), "test": df.limit(1)}
+    data = writers.export_manifest(parts, ["example_id", "text"], "n", "1", "x", {"from": "y"}, str(tmp_path / "m"))
+    again = writers.split_hashes({**parts, "train": df.orderBy(F.desc("text"))}, ["example_id", "text"], "n", "1", "x")
+    assert data["rows"] == {"train": 2, "dev": 0, "test": 1} and data["hashes"] == again
+    assert json.loads((tmp_path / "m.json").read_text())["hashes"]["aggregate_sha256"] == again["aggregate_sha256"]
+    with pytest.raises(ValueError):
+        writers.export_manifest({"train": df.limit(0)}, ["text"], "n", "1", "x", {}, str(tmp_path / "e"))
+    writers.by_label(df.withColumn("split", F.lit("train")), str(tmp_path / "data"), "split", ["train", "dev", "test"])
+    recipe = writers.training_recipe(str(tmp_path / "data"), {"accuracy": 0.8}, str(tmp_path / "r.json"), "base")
+    assert recipe["gate"] == {"accuracy": 0.8} and set(recipe["data"]) == {"train", "dev", "test"}
+    with pytest.raises(ValueError):
+        writers.training_recipe(str(tmp_path / "data"), {}, str(tmp_path / "r.json"), "base")
+    writers.dataset_card("Carte", {"rows": 2}, [("Exemples", df)], str(tmp_path / "card.md"))
+    assert "- rows: 2" in (tmp_path / "card.md").read_text()
+
+
 def test_html(spark):
     page = "<html><head><title> Une  page </title><style>x{}</style></head><body><nav>Accueil</nav><p>Mme A&nbsp;: Bonjour<br>à&eacute; tous<script>no()</script></p><p>Le 3 mars 2024</p>"
     title, lines = html.parse(page)
