@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -27,10 +28,20 @@ _LINE = np.uint64(0xA0761D6478BD642F)  # tells the hashes of lines from those of
 
 _MONTHS = "janvier février mars avril mai juin juillet août septembre octobre novembre décembre"
 _TOKEN = re.compile(r"[^\W\d_]+|\d+|\n")
-_SPEECH = re.compile(r"(?:M\.|MM\.|Mmes?|Mes?|Drs?|[Ll][ea]s?|L['’]|Une?|Des|Plusieurs)\s?[^:.!?|·]{0,60}?\s:\s")
-_BULLET = re.compile(r"(?:[-–—•*‣◦]|\d{1,3}[.)])\s")
-_DATE = re.compile(r"\b\d{1,2}(?:er)?\s(?:" + "|".join(_MONTHS.split()) + r")\s\d{4}\b", re.I)
-_SEPARATED = re.compile(r"\s[·|/>»›•]\s|\s{2,}|\t")
+
+
+@dataclass(frozen=True)
+class Style:
+    """How pages of a family of sites read: what the suffix arrays can't know. Patterns match at a line's start, but
+    ``date`` and ``separated`` anywhere."""
+
+    speech: re.Pattern = re.compile(r"(?:M\.|MM\.|Mmes?|Mes?|Drs?|[Ll][ea]s?|L['’]|Une?|Des|Plusieurs)\s?[^:.!?|·]{0,60}?\s:\s")
+    bullet: re.Pattern = re.compile(r"(?:[-–—•*‣◦]|\d{1,3}[.)])\s")
+    date: re.Pattern = re.compile(r"\b\d{1,2}(?:er)?\s(?:" + "|".join(_MONTHS.split()) + r")\s\d{4}\b", re.I)
+    separated: re.Pattern = re.compile(r"\s[·|/>»›•]\s|\s{2,}|\t")
+
+
+DEBATES = Style()
 _FURNITURE, _MAIN, _OPEN = 1, 0, -1
 
 
@@ -181,15 +192,18 @@ def _goes_on(line: str) -> bool:
     return line[0].islower() or line[0] in ",;:)»"
 
 
-def label_lines(lines: list[str], repeats: list[bool], heads: list[bool], title: str | None, date: str | None) -> list[int]:
+def label_lines(lines: list[str], repeats: list[bool], heads: list[bool], title: str | None, date: str | None, style: Style | None = DEBATES) -> list[int]:
     """1 for furniture, 0 for main body, of the non-blank lines of a page (blank ones are empty strings here and get
-    0). ``repeats``: what the suffix array found; ``heads``: repeated lines that elsewhere lead lists of points."""
+    0). ``repeats``: what the suffix array found; ``heads``: repeated lines that elsewhere lead lists of points. Without
+    a style what repeats is furniture, and unique runs are the main body."""
+    if style is None:
+        return [_FURNITURE if x and r else _MAIN for x, r in zip(lines, repeats, strict=True)]
     at = [i for i, x in enumerate(lines) if x]
     label = [_OPEN if x else _MAIN for x in lines]
     title, date = (title or "").strip(), (date or "").strip()
     wrap = 0
     for i, j in zip(at, at[1:]):
-        if j == i + 1 and not _ends(lines[i]) and _goes_on(lines[j]) and len(lines[i]) <= 130 and len(_SEPARATED.findall(lines[i])) < 2:
+        if j == i + 1 and not _ends(lines[i]) and _goes_on(lines[j]) and len(lines[i]) <= 130 and len(style.separated.findall(lines[i])) < 2:
             wrap = max(wrap, len(lines[i]))
 
     def full(i: int, j: int) -> bool:
@@ -197,7 +211,7 @@ def label_lines(lines: list[str], repeats: list[bool], heads: list[bool], title:
         return j == i + 1 and wrap > 0 and not _ends(lines[i]) and len(lines[i]) + 1 + len(lines[j].split(" ", 1)[0]) > wrap
 
 
-    first = next((i for i in at if _SPEECH.match(lines[i])), len(lines))
+    first = next((i for i in at if style.speech.match(lines[i])), len(lines))
     titles = [(i,) for i in at if title and lines[i] == title]
     if title and not titles:
         titles = [(i, j) for i, j in zip(at, at[1:]) if title.startswith(lines[i]) and f"{lines[i]} {lines[j]}" == title]
@@ -213,12 +227,12 @@ def label_lines(lines: list[str], repeats: list[bool], heads: list[bool], title:
         if label[i] != _OPEN:
             continue
         x = lines[i]
-        parts = len(_SEPARATED.findall(x))
-        if parts >= 2 and not _ends(x) or (title and title in x and len(x) > len(title) + 3 and not _SPEECH.match(x)):
+        parts = len(style.separated.findall(x))
+        if parts >= 2 and not _ends(x) or (title and title in x and len(x) > len(title) + 3 and not style.speech.match(x)):
             label[i] = _FURNITURE
-        elif _SPEECH.match(x) or (x[0] == "(" and x[-1] == ")") or (_BULLET.match(x) and not parts):
+        elif style.speech.match(x) or (x[0] == "(" and x[-1] == ")") or (style.bullet.match(x) and not parts):
             label[i] = _MAIN
-        elif len(x) < 70 and (date in x if date else i < first and not dated and len(x.split()) <= 7 and _DATE.search(x)):
+        elif len(x) < 70 and (date in x if date else i < first and not dated and len(x.split()) <= 7 and style.date.search(x)):
             label[i], dated = _MAIN, True
     open_main = -1  # the last main line whose sentence has not ended
     for k, i in enumerate(at):
@@ -237,20 +251,20 @@ def label_lines(lines: list[str], repeats: list[bool], heads: list[bool], title:
             elif close and label[p] == _MAIN and x[0].isdigit() and not _ends(lines[p]):
                 label[i] = _MAIN
             else:
-                label[i] = _alone(lines, repeats, at, k, full)
+                label[i] = _alone(lines, repeats, at, k, full, style)
         if label[i] == _MAIN:
             open_main = -1 if _ends(x) else i
     for k, i in enumerate(at):  # headings among the speeches: their points follow, at most past some inserted lines
         if heads[i] and label[i] == _FURNITURE:
             for j in at[k + 1 : k + 6]:
-                if _BULLET.match(lines[j]) and label[j] == _MAIN:
+                if style.bullet.match(lines[j]) and label[j] == _MAIN:
                     label[i] = _MAIN
                 if label[j] == _MAIN or heads[j]:
                     break
     return label
 
 
-def _alone(lines: list[str], repeats: list[bool], at: list[int], k: int, full) -> int:
+def _alone(lines: list[str], repeats: list[bool], at: list[int], k: int, full, style: Style) -> int:
     """A line by itself: the beginning of a sentence that ends as one is main body, else it is a teaser or rare
     furniture, unless points follow."""
     i = at[k]
@@ -258,22 +272,22 @@ def _alone(lines: list[str], repeats: list[bool], at: list[int], k: int, full) -
         if _ends(lines[i]):
             return _MAIN
         j = at[k + 1] if k + 1 < len(at) else -1
-        tail = full(i, j) and (not repeats[j] or _ends(lines[j]) or lines[j][0].isdigit()) and not _SPEECH.match(lines[j])
+        tail = full(i, j) and (not repeats[j] or _ends(lines[j]) or lines[j][0].isdigit()) and not style.speech.match(lines[j])
         if j == i + 1 and (_goes_on(lines[j]) or tail):
             k, i = k + 1, j
             continue
-        return _MAIN if j >= 0 and i == at[k] and _BULLET.match(lines[j]) and len(lines[i].split()) <= 6 else _FURNITURE
+        return _MAIN if j >= 0 and i == at[k] and style.bullet.match(lines[j]) and len(lines[i].split()) <= 6 else _FURNITURE
 
 
-def _leads(lines: list[list[str]], kind: list[list[int]]) -> tuple[dict[int, int], dict[int, int]]:
+def _leads(lines: list[list[str]], kind: list[list[int]], style: Style | None = DEBATES) -> tuple[dict[int, int], dict[int, int]]:
     """How often a short line of each kind has a line after it, and how often that is a point of a list."""
     led, seen = {}, {}
-    for x, ks in zip(lines, kind, strict=True):
+    for x, ks in zip(lines, kind, strict=True) if style else ():
         at = [i for i, s in enumerate(x) if s]
         for i, j in zip(at, at[1:]):
             if ks[i] >= 0 and len(x[i]) < 60:
                 seen[ks[i]] = seen.get(ks[i], 0) + 1
-                if _BULLET.match(x[j]) and not _BULLET.match(x[i]):
+                if style.bullet.match(x[j]) and not style.bullet.match(x[i]):
                     led[ks[i]] = led.get(ks[i], 0) + 1
     return seen, led
 
@@ -285,21 +299,21 @@ def _by_line(block: Block, lines: list[list[str]], value: np.ndarray, fill) -> l
     return out
 
 
-def count_block(pdf: pd.DataFrame) -> pd.DataFrame:
+def count_block(pdf: pd.DataFrame, style: Style | None = DEBATES) -> pd.DataFrame:
     """What a block of a host with several of them has to tell the others (see Block.counts)."""
     block = Block(pdf["text"].tolist(), pdf["host"].tolist(), count=False)
     lines = [[x.strip() for x in t.split("\n")] for t in pdf["text"]]
-    return block.counts(*_leads(lines, _by_line(block, lines, block.kind, -1)))
+    return block.counts(*_leads(lines, _by_line(block, lines, block.kind, -1), style))
 
 
-def label_block(pdf: pd.DataFrame, known: np.ndarray | None = None, heads: np.ndarray | None = None) -> Iterator[tuple[str, list[str], list[int]]]:
+def label_block(pdf: pd.DataFrame, known: np.ndarray | None = None, heads: np.ndarray | None = None, style: Style | None = DEBATES) -> Iterator[tuple[str, list[str], list[int]]]:
     """Key, lines and labels of each delivery of a block's distinct pages (columns text, host and the deliveries' key,
     title and date). ``known`` and ``heads``: what repeats and what leads points among all pages of the host."""
     block = Block(pdf["text"].tolist(), pdf["host"].tolist(), known)
     lines = [[x.strip() for x in t.split("\n")] for t in pdf["text"]]
     repeats, kind = _by_line(block, lines, block.repeats, False), _by_line(block, lines, block.kind, -1)
     if heads is None:
-        seen, led = _leads(lines, kind)
+        seen, led = _leads(lines, kind, style)
         heading = {k for k, n in led.items() if n >= 0.15 * seen[k]}
     else:
         heading = set(block.kind[np.isin(block.key ^ _LINE, heads)].tolist())
@@ -309,7 +323,7 @@ def label_block(pdf: pd.DataFrame, known: np.ndarray | None = None, heads: np.nd
         for d in deliveries:
             told = (d["title"], d["date"])
             if told not in labels:
-                labels[told] = label_lines(lines[p], repeats[p], led_by, *told)
+                labels[told] = label_lines(lines[p], repeats[p], led_by, *told, style)
             yield d["key"], lines[p], labels[told]
 
 
@@ -352,14 +366,14 @@ def _sum(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"block": pdf["block"], "known": cut(often), "heads": cut(leads)})
 
 
-def _labelled(pages: DataFrame, label, schema: str) -> DataFrame:
+def _labelled(pages: DataFrame, label, schema: str, style: Style | None) -> DataFrame:
     """``label(pages of a block, known, heads)`` of all blocks; see label_block."""
 
     def told(pdf: pd.DataFrame) -> pd.DataFrame:
         site, parts = pdf["site"].iat[0], pdf["parts"].iat[0]
         if pd.isna(parts) or parts < 2:
             return pd.DataFrame([], columns=["site", "place", "block", *_PACKED])
-        return _split(int(pdf["block"].iat[0]), site, int(parts), count_block(pdf))
+        return _split(int(pdf["block"].iat[0]), site, int(parts), count_block(pdf, style))
 
     def both(pdf: pd.DataFrame, back: pd.DataFrame) -> pd.DataFrame:
         if not len(pdf):
@@ -375,36 +389,37 @@ def _labelled(pages: DataFrame, label, schema: str) -> DataFrame:
     return pages.groupBy("block").cogroup(back.groupBy("block")).applyInPandas(both, schema)
 
 
-def furniture_lines(pages: DataFrame, key: str = "record_id", text: str = "text", url: str = "source_url") -> DataFrame:
+def furniture_lines(pages: DataFrame, key: str = "record_id", text: str = "text", url: str = "source_url", style: Style | None = DEBATES) -> DataFrame:
     """``record_id, line_no`` of the non-blank lines that are page furniture; text is split at line feeds, line_no
     starts at 0 and counts blank lines. Pages with a null text or key have none; pages without a source_url share
     one host; a null title or date is told from the lines; repeated deliveries count once and come out once; an
-    empty table gives no rows; other columns are ignored."""
+    empty table gives no rows; other columns are ignored. ``style`` is how such pages read; None leaves all to the
+    suffix arrays."""
 
     def label(pdf: pd.DataFrame, known: np.ndarray | None, heads: np.ndarray | None) -> pd.DataFrame:
         keys, numbers = [], []
-        for k, _, labels in label_block(pdf, known, heads) if len(pdf) else ():
+        for k, _, labels in label_block(pdf, known, heads, style) if len(pdf) else ():
             hit = [n for n, x in enumerate(labels) if x]
             keys += [k] * len(hit)
             numbers += hit
         return pd.DataFrame({"record_id": pd.Series(keys, dtype="object"), "line_no": np.array(numbers, np.int32)})
 
     kind = pages.schema[key].dataType.simpleString()
-    found = _labelled(_blocks(pages, key, text, url), label, f"record_id {kind}, line_no int")
+    found = _labelled(_blocks(pages, key, text, url), label, f"record_id {kind}, line_no int", style)
     return found.distinct().withColumnRenamed("record_id", key)
 
 
-def main_content(pages: DataFrame, key: str = "record_id", text: str = "text", url: str = "source_url") -> DataFrame:
+def main_content(pages: DataFrame, key: str = "record_id", text: str = "text", url: str = "source_url", style: Style | None = DEBATES) -> DataFrame:
     """``record_id, text``: the main body of each page; lines of furniture are gone, runs of blank lines are one.
     Repeated deliveries come out once; see furniture_lines for the rest."""
 
     def clean(pdf: pd.DataFrame, known: np.ndarray | None, heads: np.ndarray | None) -> pd.DataFrame:
         out = {}
-        for k, lines, labels in label_block(pdf, known, heads) if len(pdf) else ():
+        for k, lines, labels in label_block(pdf, known, heads, style) if len(pdf) else ():
             body = "\n".join(x for x, f in zip(lines, labels, strict=True) if not f)
             out[(k, re.sub(r"\n{3,}", "\n\n", body).strip())] = None
         return pd.DataFrame(list(out), columns=["record_id", "text"])
 
     kind = pages.schema[key].dataType.simpleString()
-    cleaned = _labelled(_blocks(pages, key, text, url), clean, f"record_id {kind}, text string")
+    cleaned = _labelled(_blocks(pages, key, text, url), clean, f"record_id {kind}, text string", style)
     return cleaned.distinct().withColumnRenamed("record_id", key)

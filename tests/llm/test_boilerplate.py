@@ -58,6 +58,8 @@ def test_furniture_of_made_pages(spark):
     assert len(got & truth) >= 0.97 * len(truth)
     assert len(got - truth) <= 0.02 * len(truth)
     assert boilerplate.furniture_lines(df.limit(0)).collect() == []
+    alone = {tuple(r) for r in boilerplate.furniture_lines(df, style=None).collect()}  # what repeats, and nothing else
+    assert len(alone & truth) >= 0.8 * len(truth) and not alone >= truth
 
 
 def test_main_content_keeps_the_speeches(spark):
