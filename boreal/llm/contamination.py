@@ -19,7 +19,8 @@ from boreal.llm.lexis import words
 
 LEAST = 12
 _SHARD = 400_000  # words
-_BLOCK = 2_000_000  # words of test passages held at once; more go in further blocks
+_BLOCK = 2_000_000  # words of test passages held at once; more go in further blocks, each with a scan of its own
+_MATCHES = 500_000  # matches held at once
 
 
 class Passages:
@@ -81,23 +82,33 @@ def _pair(a: np.ndarray, b: np.ndarray, shift: int) -> np.ndarray:
     return np.unique(a * (int(later.max(initial=0)) + 1) + later, return_inverse=True)[1].astype(np.int64)
 
 
-def search_shard(passages: Passages, shard: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(test position, shard position, words)`` of every longest verbatim match of ``least`` words or more:
-    those that can't be extended to the left, at their full length to the right. Documents are parted by -1."""
-    none = np.zeros(0, np.int64)
+def search_shard(passages: Passages, shard: np.ndarray, least: int = LEAST, most: int = _MATCHES) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``(test position, shard position, words)`` of every longest verbatim match of ``least`` words or more: those that
+    can't be extended to the left, at their full length to the right. Documents are parted by -1. Matches come in
+    pieces of about ``most``, so a formula that a shard and the passages repeat many times is never held at once."""
     starts = passages.keep(shard, least)
     if not len(starts):
-        return none, none, none
+        return
     test, mine = _rank(passages.stream, shard, starts, least)
     array = np.argsort(mine, kind="stable")  # the suffix array of the shard
     mine, starts = mine[array], starts[array]
     asks = np.flatnonzero(test >= 0)
     low = np.searchsorted(mine, test[asks], side="left")
-    high = np.searchsorted(mine, test[asks], side="right")
-    width = high - low
+    width = np.searchsorted(mine, test[asks], side="right") - low
+    hit = width > 0
+    asks, low, width = asks[hit], low[hit], width[hit]
+    total = np.cumsum(width)
+    at = 0
+    while at < len(asks):
+        done = total[at] - width[at]
+        upto = max(at + 1, int(np.searchsorted(total, done + most, side="right")))
+        yield _extended(passages.stream, shard, starts, asks[at:upto], low[at:upto], width[at:upto], least)
+        at = upto
+
+
+def _extended(stream: np.ndarray, shard: np.ndarray, starts: np.ndarray, asks: np.ndarray, low: np.ndarray, width: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     t = np.repeat(asks, width)
     s = starts[np.repeat(low, width) + np.arange(len(t)) - np.repeat(np.cumsum(width) - width, width)]
-    stream = passages.stream
     left = (t > 0) & (s > 0)
     left[left] = (stream[t[left] - 1] == shard[s[left] - 1]) & (shard[s[left] - 1] > 0)
     t, s = t[~left], s[~left]
@@ -146,13 +157,12 @@ def verbatim_matches(
             passages = shared.value
             number = passages.ids.get
 
-            def shard(keys: list, parts: list[np.ndarray]) -> pd.DataFrame:
+            def found(keys: list, parts: list[np.ndarray]) -> Iterator[pd.DataFrame]:
                 begin = np.cumsum([0] + [len(p) for p in parts[:-1]])
-                t, s, n = search_shard(passages, np.concatenate(parts), least)
-                doc = np.searchsorted(begin, s, side="right") - 1
-                return pd.DataFrame(
-                    {key: pd.Series([keys[d] for d in doc], dtype="object" if len(doc) == 0 else None), item: passages.owner[t], "doc_word": (s - begin[doc]).astype(np.int32), "item_word": passages.place[t].astype(np.int32), "words": n.astype(np.int32)}
-                )
+                for t, s, n in search_shard(passages, np.concatenate(parts), least):
+                    doc = np.searchsorted(begin, s, side="right") - 1
+                    if len(doc):
+                        yield pd.DataFrame({key: [keys[d] for d in doc], item: passages.owner[t], "doc_word": (s - begin[doc]).astype(np.int32), "item_word": passages.place[t].astype(np.int32), "words": n.astype(np.int32)})
 
             keys, parts, size = [], [], 0
             for pdf in it:
@@ -162,14 +172,10 @@ def verbatim_matches(
                     parts.append(ids)
                     size += len(ids)
                     if size >= _SHARD:
-                        found = shard(keys, parts)
+                        yield from found(keys, parts)
                         keys, parts, size = [], [], 0
-                        if len(found):
-                            yield found
             if keys:
-                found = shard(keys, parts)
-                if len(found):
-                    yield found
+                yield from found(keys, parts)
 
         out = out.unionByName(corpus_rows.mapInPandas(batches, schema))
     return out

@@ -57,3 +57,16 @@ def test_matches_never_cross_documents(spark):
     passage = [f"p{i}" for i in range(24)]
     a, b = frames(spark, [(1, " ".join(passage[:8])), (2, " ".join(passage[8:16])), (3, " ".join(passage[16:]))], [(5, " ".join(passage))])
     assert contamination.contaminated(a.coalesce(1), b).collect() == []
+
+
+def test_a_formula_repeated_on_both_sides_comes_in_pieces():
+    import numpy as np
+
+    formula = [f"f{i}" for i in range(12)]
+    passages = contamination.Passages([(i, [*formula, f"own{i}"]) for i in range(20)])
+    ids = [passages.ids[w] for w in formula]
+    shard = np.array(sum(([*ids, -1] for _ in range(50)), []), np.int64)
+    pieces = list(contamination.search_shard(passages, shard, most=100))
+    assert len(pieces) == 10 and max(len(t) for t, _, _ in pieces) == 100
+    assert sum(len(t) for t, _, _ in pieces) == 20 * 50
+    assert len({(int(t), int(s)) for ts, ss, _ in pieces for t, s in zip(ts, ss, strict=True)}) == 1000
