@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import os
 from collections.abc import Iterator
 from functools import reduce
 
@@ -25,6 +26,8 @@ def encoding(path: str = TOKENIZER):
     if path not in _LOADED:
         import tiktoken
 
+        if not os.path.exists(path):
+            raise FileNotFoundError(f"no vocabulary at {path}: the file must be on every worker, its path is a parameter")
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in lines)}
         _LOADED[path] = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
@@ -32,8 +35,9 @@ def encoding(path: str = TOKENIZER):
 
 
 def count_tokens(texts: list[str | None], path: str = TOKENIZER) -> np.ndarray:
-    encode = encoding(path).encode_ordinary
-    return np.array([len(encode(t)) if t else 0 for t in texts], np.int64)
+    """The number of tokens of each text; a batch of texts is encoded at once, on the one core a task has."""
+    coded = encoding(path).encode_ordinary_batch([t or "" for t in texts], num_threads=1)
+    return np.fromiter(map(len, coded), np.int64, len(texts))
 
 
 def with_tokens(rows: DataFrame, text: str = "text", keep: dict[str, Column | str] | None = None, path: str = TOKENIZER, name: str = "tokens") -> DataFrame:
