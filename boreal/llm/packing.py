@@ -69,6 +69,20 @@ def pack(sizes: np.ndarray, sources: np.ndarray, share: dict, deficit: dict, cap
     return out
 
 
+_STRETCH = 4096  # shards summed by one task
+
+
+def _running(df: DataFrame, name: str, out: str, by: list[str]) -> DataFrame:
+    """Adds the sum of a column over all shards before a row's own (of the same ``by``). Shards are summed in stretches,
+    then stretches, so that no window spans all shards."""
+    own = df.withColumn("__stretch", F.floor(F.col("shard") / _STRETCH))
+    before = lambda by_, order: Window.partitionBy(*by_).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    sums = own.groupBy(*by, "__stretch").agg(F.sum(name).alias("__sum"))
+    starts = sums.withColumn("__start", F.coalesce(F.sum("__sum").over(before(by or [F.lit(0)], "__stretch")), F.lit(0))).drop("__sum")
+    inside = F.coalesce(F.sum(name).over(before([*by, "__stretch"], "shard")), F.lit(0))
+    return own.withColumn("__inside", inside).join(starts, [*by, "__stretch"]).withColumn(out, F.col("__start") + F.col("__inside")).drop("__stretch", "__start", "__inside")
+
+
 def packed(
     docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", capacity: int = CAPACITY, mixture: dict[str, float] | None = None, path: str = TOKENIZER
 ) -> DataFrame:
@@ -102,10 +116,9 @@ def packed(
         share = held.groupBy("source").agg((F.sum("tokens") / F.lit(max(total["tokens"] or 0, 1))).alias("share"))
     else:
         share = docs.sparkSession.createDataFrame([(k, float(v) / sum(mixture.values())) for k, v in mixture.items()], "source string, share double")
-    before = lambda w: w.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    whole = whole.withColumn("all_before", F.coalesce(F.sum("all").over(before(Window.partitionBy(F.lit(0)))), F.lit(0)))
+    whole = _running(whole, "all", "all_before", [])
+    held = _running(held, "tokens", "held_before", ["source"])
     plan = held.join(whole, "shard").join(share, "source", "left").fillna(0.0, ["share"])
-    plan = plan.withColumn("held_before", F.coalesce(F.sum("tokens").over(before(Window.partitionBy("source"))), F.lit(0)))
     plan = plan.select("shard", "source", "share", (F.col("share") * F.col("all_before") - F.col("held_before")).alias("deficit"))
     routed = items.join(plan, ["shard", "source"])
 

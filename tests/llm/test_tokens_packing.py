@@ -85,3 +85,22 @@ def test_packed_documents(spark):
     assert packing.packed(df.limit(0)).collect() == []
     mixed = packing.packed(df, mixture={"s1": 1, "s2": 1}).collect()
     assert len(mixed) == len(out)
+
+
+def test_running_sums_over_stretches(spark, monkeypatch):
+    monkeypatch.setattr(packing, "_STRETCH", 4)
+    rng = random.Random(4)
+    rows = [(i, s, rng.randrange(50)) for i in range(23) for s in "ab" if rng.random() < 0.8]
+    df = spark.createDataFrame(rows, "shard int, source string, tokens int")
+    got = {(r["shard"], r["source"]): r["x"] for r in packing._running(df, "tokens", "x", ["source"]).collect()}
+    assert got == {(i, s): sum(n for j, t, n in rows if t == s and j < i) for i, s, _ in rows}
+    one = df.groupBy("shard").sum("tokens").toDF("shard", "n")
+    assert {r["shard"]: r["x"] for r in packing._running(one, "n", "x", []).collect()} == {i: sum(n for j, _, n in rows if j < i) for i in {r[0] for r in rows}}
+
+
+def test_items_stay_whole(spark):
+    docs = spark.createDataFrame([(i, "mot " * n, "s") for i, n in enumerate([0, 5, 3000, 40, 2500, 7])], "doc_id int, text string, source string")
+    out = packing.packed(docs, capacity=64)
+    assert {tuple(r)[1:] for r in packing.whole_items(out, capacity=64).collect()} == {(True, True, True)}
+    broken = out.where("piece <> 1")
+    assert (False in {r["contiguous"] for r in packing.whole_items(broken, capacity=64).collect()})
