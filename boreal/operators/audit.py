@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,10 +14,11 @@ from boreal.operators.rules import cascade, reasons
 LEVELS = (("production", 150_000_000), ("pilot", 20_000_000), ("smoke_test", 500_000))
 
 
-def count_by(df: DataFrame, keys: Sequence[str], missing: str = "unknown") -> DataFrame:
-    """``key, value, n`` for several keys in one pass; a missing value counts under ``missing``."""
+def count_by(df: DataFrame, keys: Sequence[str], missing: str = "unknown", keep: Sequence[str] = ()) -> DataFrame:
+    """``key, value, n`` for several keys in one pass, within the columns to ``keep``; a missing value counts under
+    ``missing``."""
     pairs = F.array(*[F.struct(F.lit(k).alias("key"), F.coalesce(F.col(k).cast("string"), F.lit(missing)).alias("value")) for k in keys])
-    return df.select(F.inline(pairs)).groupBy("key", "value").agg(F.count(F.lit(1)).alias("n"))
+    return df.select(*keep, F.inline(pairs)).groupBy(*keep, "key", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def count_items(df: DataFrame, items: str, name: str = "item") -> DataFrame:
@@ -104,6 +105,18 @@ def corpus_audit(df: DataFrame, production_turns: int = 200_000, instruction: Co
     return row.withColumn("level", F.when(production & (F.size("blockers") > 0), "production_blocked").otherwise(F.col("level"))).drop("__most")
 
 
+def rollup(df: DataFrame, by: str, skipped: str, summaries: Mapping[str, str]) -> DataFrame:
+    """``<by>, seen, selected, skipped`` and a summary of each named column as text, ``value=n`` in order of values; a
+    missing value counts as "unknown". Values are counted before they are put together."""
+    out = df.groupBy(by).agg(F.count(F.lit(1)).alias("seen"), F.count_if(~F.col(skipped)).alias("selected"), F.count_if(F.col(skipped)).alias("skipped"))
+    counts = count_by(df.select(by, *summaries.values()), list(summaries.values()), keep=[by])
+    for name, column in summaries.items():
+        told = counts.where(F.col("key") == column).groupBy(by).agg(F.array_sort(F.collect_list(F.struct("value", "n"))).alias("x"))
+        text = F.array_join(F.transform("x", lambda s: F.concat(s["value"], F.lit("="), s["n"].cast("string"))), " ")
+        out = out.join(told.select(by, text.alias(name)), by, "left")
+    return out
+
+
 def coverage(df: DataFrame, by: str, value: str) -> DataFrame:
     """Each key's sorted set of values."""
     return df.groupBy(by).agg(F.array_sort(F.collect_set(value)).alias("covered"))

@@ -53,10 +53,12 @@ select coalesce(source, 'unknown') as source, count(*) as records, sum(cast(trun
 from n join first using (doc_id) group by 1"""
 )
 def normalized_dedup_by_source(spark, d):
-    """Clean, drop short texts, keep the first of each normalized text, and estimate tokens by source."""
+    """Clean, drop short texts, keep the first of each normalized text, and estimate tokens by source. Texts are read
+    into a key and a count where they lie; only these are moved."""
     own = _documents(spark, d).select("doc_id", "source", X.clean("text").alias("text")).where(F.length("text") >= 20)
-    kept = dedup.first_wins(own, [X.sha(X.norm_key("text"))], ["doc_id"])
-    return kept.groupBy(F.coalesce("source", F.lit("unknown")).alias("source")).agg(F.count(F.lit(1)).alias("records"), F.sum(audit.row_tokens()).alias("tokens"))
+    keyed = own.select("doc_id", F.coalesce("source", F.lit("unknown")).alias("source"), audit.row_tokens().alias("tokens"), X.sha(X.norm_key("text")).alias("k"))
+    kept = dedup.first_wins(keyed, ["k"], ["doc_id"])
+    return kept.groupBy("source").agg(F.count(F.lit(1)).alias("records"), F.sum("tokens").alias("tokens"))
 
 
 @query(
@@ -348,6 +350,17 @@ def catalogue_rollup(spark, d):
     )
 
 
+@query(
+    """with r as (select coalesce(source_id, 'unknown') as source_id, coalesce(license_status, 'unknown') as l, coalesce(domain, 'unknown') as d, not coalesce(allowed_for_training, false) or coalesce(holdout_only, false) as skipped from donnees_quebec_fixture_harvest),
+l as (select source_id, string_agg(l || '=' || n, ' ' order by l) as licences from (select source_id, l, count(*) as n from r group by all) group by 1), d as (select source_id, string_agg(d || '=' || n, ' ' order by d) as domains from (select source_id, d, count(*) as n from r group by all) group by 1)
+select source_id, count(*) as seen, count(*) - count_if(skipped) as selected, count_if(skipped) as skipped, any_value(licences) as licences, any_value(domains) as domains from r join l using (source_id) join d using (source_id) group by source_id"""
+)
+def acquisition_rollup(spark, d):
+    """What came of each source: records seen, selected and skipped, by licence and domain."""
+    own = _records(spark, d).select(F.coalesce("source_id", F.lit("unknown")).alias("source_id"), "license_status", "domain", (~F.coalesce("allowed_for_training", F.lit(False)) | F.coalesce("holdout_only", F.lit(False))).alias("skipped"))
+    return audit.rollup(own, "source_id", "skipped", {"licences": "license_status", "domains": "domain"})
+
+
 @query("select package_id, record_id, package_title from (select *, row_number() over (partition by package_id order by ingested_at desc, record_id desc) as n from donnees_quebec_fixture_harvest where package_id is not null) where n = 1")
 def latest_package(spark, d):
     """Of a package found several times the last payload is taken."""
@@ -543,6 +556,7 @@ def content_hash_by_source(spark, d):
 SQL |= {q: S.typed(SQL[q], columns) for q, columns in {
     "normalized_dedup_by_source": {"tokens": "bigint"},
     "navigation_lines": {"navigation": "bigint"},
+    "acquisition_rollup": {"selected": "bigint", "skipped": "bigint"},
     "catalogue_rollup": {"resources": "bigint"},
     "readiness": {"row_tokens": "bigint"},
     "readiness_by_source": {"row_tokens": "bigint"},

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -75,6 +76,20 @@ def page_lines(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
     return read.select(key, F.col("x.title").alias("title"), F.posexplode("x.lines").alias("line_no", "line"))
 
 
+def seed_pages(spark: SparkSession, seeds: Sequence[str], most: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(pages, skipped)`` of explicitly named pages, in order of their addresses and at most ``most``: ``url, html`` of
+    those on a file system, and ``url, reason`` of the others: those beyond the limit, and remote ones, which are
+    fetched by download.fetch and named by their files. Nothing is crawled."""
+    own = sorted(set(seeds))
+    taken = own if most is None else own[:most]
+    local = [u for u in taken if u.startswith(("file:", "/"))]
+    reasons = [(u, "beyond_limit") for u in own[len(taken) :]] + [(u, "remote") for u in taken if u not in local]
+    skipped = spark.createDataFrame(reasons, "url string, reason string")
+    if not local:
+        return spark.createDataFrame([], "url string, html string"), skipped
+    return spark.read.text(local, wholetext=True).select(F.col("_metadata.file_path").alias("url"), F.col("value").alias("html")), skipped
+
+
 def is_navigation(line: Column) -> Column:
     """A line that reads as a menu entry: very short, one of its words, or beginning with one."""
     plain = F.lower(clean(line))

@@ -167,6 +167,19 @@ def corpus_records(segmented: DataFrame, source_id: str, order: Sequence[str], t
     return hashed.withColumn("record_id", F.concat_ws(":", F.lit(source_id), number, F.substring("normalized_text_sha256", 1, 12)))
 
 
+def external_records(df: DataFrame, source_id: str, fields: Sequence[str], min_chars: int = 80) -> DataFrame:
+    """``record_id, source_id, segment_no, text`` and hashes from an external dataset of any shape: a row's text is its
+    four longest distinct text fields, cut at blank lines; the first of each normalized text stays. Ids come from hashes,
+    so they are the same however the dataset is read."""
+    own = F.array_distinct(F.filter(F.array(*[F.trim(F.col(f"`{c}`").cast("string")) for c in fields]), lambda s: s != ""))
+    ranked = F.slice(F.array_sort(F.transform(own, lambda s: F.struct((-F.length(s)).alias("n"), s.alias("s")))), 1, 4)
+    leaves = F.array_join(F.transform(ranked, lambda r: r["s"]), "\n\n")
+    parts = df.select(F.posexplode(paragraphs(leaves, min_chars)).alias("segment_no", "text"))
+    hashed = parts.withColumns({"text_sha256": sha("text"), "normalized_text_sha256": sha(norm_key("text"))})
+    first = first_wins(hashed, ["normalized_text_sha256"], ["segment_no", "text_sha256"])
+    return first.select(F.concat_ws(":", F.lit(source_id), F.substring("normalized_text_sha256", 1, 12)).alias("record_id"), F.lit(source_id).alias("source_id"), "segment_no", "text", "text_sha256", "normalized_text_sha256")
+
+
 def granted_sources(path: str) -> set[str]:
     """Source ids of a permission manifest (JSON): a list, or an object's keys, under sources or approved_sources."""
     data = json.loads(Path(path).read_text(encoding="utf-8"))

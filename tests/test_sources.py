@@ -74,6 +74,39 @@ def test_documents_bundles_and_paths(spark, tmp_path):
     assert readers.detect_format(curated) == "curated" and readers.detect_format(curated.limit(0)) == "unknown"
 
 
+def test_downloads(spark, tmp_path):
+    import urllib.error
+
+    from boreal.operators import gates
+    from boreal.sources import download
+
+    calls = []
+
+    def opener(url, timeout):
+        calls.append(url)
+        if "busy" in url and len(calls) < 3:
+            raise urllib.error.HTTPError(url, 503, "busy", None, None)
+        if "gone" in url:
+            raise urllib.error.HTTPError(url, 404, "gone", None, None)
+        if "slow" in url:
+            raise urllib.error.URLError(TimeoutError())
+        return b"\xff" if "bytes" in url else "un texte été".encode()
+
+    sources = [("a", "https://x.example/busy"), ("b", "https://x.example/gone"), ("c", "ftp://x.example/c"), ("d", "https://x.example/slow"), ("e", "https://x.example/bytes")]
+    got = {r["source_id"]: (r["status"], r["attempts"]) for r in download.fetch(spark, sources, str(tmp_path), wait=0, opener=opener).collect()}
+    assert got == {"a": ("downloaded", 3), "b": ("failed", 1), "c": ("failed", 0), "d": ("failed", 3), "e": ("failed", 1)}
+    again = download.fetch(spark, sources[:1], str(tmp_path), opener=opener)
+    assert [(r["status"], r["characters"]) for r in again.collect()] == [("cached", 12)]
+    assert gates.download_verdict(again, 1, False).first()["ok"]
+    assert [(r["source_id"], r["source_type"]) for r in download.local_manifest(again).collect()] == [("a", "local_text")]
+    (tmp_path / "p.html").write_text("<p>Bonjour</p>")
+    pages, skipped = html.seed_pages(spark, [str(tmp_path / "p.html"), "https://x.example/z", "https://x.example/y"], 2)
+    assert pages.count() == 1 and {(r["url"], r["reason"]) for r in skipped.collect()} == {("https://x.example/y", "remote"), ("https://x.example/z", "beyond_limit")}
+    ext = spark.createDataFrame([("Un premier texte.\n\nUn autre texte.", "court"), ("un premier  texte.", None)], "a string, b string")
+    rows = readers.external_records(ext, "src", ["a", "b"], 6).collect()
+    assert sorted(r["text"] for r in rows) == ["Un autre texte.", "Un premier texte."] and all(r["record_id"].startswith("src:") for r in rows)
+
+
 def test_exports(spark, tmp_path):
     df = spark.createDataFrame([("1", "a"), ("2", "b")], "example_id string, text string")
     parts = {"train": df, "dev": df.limit(0), "test": df.limit(1)}
