@@ -93,6 +93,8 @@ def limit_per_source(df: DataFrame, source: str, order: Sequence[str], most: int
     ``own`` limit (null for none)."""
     limit = F.least(F.lit(most).cast("int"), own.cast("int")) if own is not None else F.lit(most).cast("int")
     ranked = df.withColumn("__limit", limit).withColumn("__n", F.row_number().over(Window.partitionBy(source).orderBy(*order)))
+    if most is not None:
+        ranked = ranked.where(F.col("__n") <= most)  # a fixed bound is applied before the exchange already
     return ranked.where(F.col("__limit").isNull() | (F.col("__n") <= F.col("__limit"))).drop("__n", "__limit")
 
 

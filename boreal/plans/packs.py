@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from boreal.operators import audit, balance, gates, pack, splits
+from boreal.operators import audit, balance, gates, manifests, pack, splits
 from boreal.plans import corpus, examples, sqltext as S
 from boreal.session import table
 from boreal.sources import catalogue, readers
@@ -325,6 +325,39 @@ def fetch_gate(spark, d):
     return own.select(F.coalesce(gate, F.lit("fetched")).alias("fetched")).groupBy("fetched").agg(F.count(F.lit(1)).alias("n"))
 
 
+_SOURCE_RULES = {
+    "missing_id": "coalesce(record_id, '') = ''",
+    "malformed_id": "coalesce(record_id, '') <> '' and not regexp_matches(record_id, '^[a-z0-9][a-z0-9_\\-]*$')",
+    "repeated_id": "coalesce(record_id, '') <> '' and times > 1",
+    "unknown_commercial_use": "commercial_use is not null and commercial_use not in ('allowed', 'unknown')",
+    "training_on_holdout": "coalesce(allowed_for_training, false) and coalesce(holdout_only, false)",
+    "personal_data_without_review": "coalesce(pii_risk, '') in ('high', 'contains_pii') and not coalesce(requires_review, false)",
+    "active_with_unclear_license": "coalesce(acquisition_status, '') = 'active' and coalesce(license_status, '') in ('', 'unclear', 'unknown')",
+    "path_leaves_folder": "coalesce(source_path, '') <> '' and (starts_with(source_path, '/') or regexp_matches(source_path, '(^|[/\\\\])\\.\\.([/\\\\]|$)') or regexp_matches(source_path, '^[A-Za-z]:'))",
+    "dates_reversed": "coalesce(date_min, '') > coalesce(nullif(date_max, ''), '9999')",
+}
+
+
+@query(f"with r as (select *, count(*) over (partition by record_id) as times from donnees_quebec_fixture_harvest) select violation, count(*) as n from ({' union all '.join(f'select {S.quote(n)} as violation from r where {c}' for n, c in _SOURCE_RULES.items())}) group by violation")
+def source_violations(spark, d):
+    """Catalogue records as entries of a manifest, and the constraints they break."""
+    found = manifests.source_violations(corpus._records(spark, d), "record_id", {"commercial_use": ["allowed", "unknown"]})
+    return found.groupBy("violation").agg(F.count(F.lit(1)).alias("n"))
+
+
+_TERM_PAIRS = "(select prompt_id as pair_id, expected_terms[1] as preferred, forbidden_terms[1] as source, forbidden_terms as rejected from eval_prompts)"
+
+
+@query(
+    f"""with r as (select *, count(*) over (partition by source, preferred) as times from {_TERM_PAIRS}), b as (select *, coalesce({S.clean('source')}, '') = '' or coalesce({S.clean('preferred')}, '') = '' as blank from r)
+select violation, count(*) as n from (select 'blank_term' as violation from b where blank union all select 'source_not_rejected' from b where not coalesce(list_contains(rejected, source), false) union all select 'preferred_rejected' from b where coalesce(list_contains(rejected, preferred), false) union all select 'repeated_pair' from b where times > 1 and source is not null and preferred is not null) group by 1"""
+)
+def term_pair_violations(spark, d):
+    first = lambda c: F.try_element_at(c, F.lit(1))
+    own = table(spark, d, "eval_prompts").select(F.col("prompt_id").alias("pair_id"), first("expected_terms").alias("preferred"), first("forbidden_terms").alias("source"), F.col("forbidden_terms").alias("rejected"))
+    return manifests.pair_violations(own).groupBy("violation").agg(F.count(F.lit(1)).alias("n"))
+
+
 #: Sums widen in SQL; these columns keep the queries' types.
 SQL |= {q: S.typed(SQL[q], columns) for q, columns in {
     "commercial_readiness": {"noncommercial": "bigint", "permission_required": "bigint"},

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from boreal.operators import audit, balance, gates, lexical, pack, splits
+from boreal.operators import audit, balance, gates, lexical, manifests, pack, splits
 from boreal.sources import readers
 
 SCHEMA = "input_ord int, record_id string, source_id string, source_family string, source_input string, text string, domain string, license_status string, commercial_use string, allowed_for_training boolean, holdout_only boolean, requires_review boolean, extra string"
@@ -138,3 +138,32 @@ def test_overrides_and_least_coverage(spark):
     assert lexical.mined_examples(failed.limit(0), 2, least_per_pair=2).collect() == []
     terms = spark.createDataFrame([(["Email", "mail"], "email"), (["Email"], "email"), ([], "email"), (None, "email")], "r array<string>, p string")
     assert [r["t"] for r in terms.select(lexical.rejected_term(F.col("r"), F.col("p")).alias("t")).collect()] == ["mail", "Email", "email", "email"]
+
+
+def test_manifest_constraints(spark):
+    df = spark.createDataFrame([("a", True, False, "data/x", "active", "open"), ("a", True, True, "../x", "active", None), (None, None, None, "/x", None, None), ("Ä b", False, None, "c:x", "x", "unclear")], "source_id string, allowed_for_training boolean, holdout_only boolean, source_path string, acquisition_status string, license_status string")
+    got = {}
+    for r in manifests.source_violations(df, allowed={"acquisition_status": ["active"]}).collect():
+        got.setdefault(r["source_id"], []).append(r["violation"])
+    assert sorted(got["a"]) == ["active_with_unclear_license", "path_leaves_folder", "repeated_id", "repeated_id", "training_on_holdout"]
+    assert got[None] == ["missing_id", "path_leaves_folder"] and got["Ä b"] == ["malformed_id", "unknown_acquisition_status", "path_leaves_folder"]
+    pairs = spark.createDataFrame([("1", "email", "courriel", ["email"]), ("2", "x", "y", ["y"]), ("3", " ", None, None)], "pair_id string, source string, preferred string, rejected array<string>")
+    assert sorted((r["pair_id"], r["violation"]) for r in manifests.pair_violations(pairs).collect()) == [("2", "preferred_rejected"), ("2", "source_not_rejected"), ("3", "blank_term"), ("3", "source_not_rejected")]
+    ratios = spark.createDataFrame([("ok", 0.9, 0.1), ("sum", 0.9, 0.2), ("neg", 1.1, -0.1), ("nul", None, 1.0)], "k string, a double, b double")
+    assert sorted((r["k"], r["violation"]) for r in manifests.share_violations(ratios, "k", ["a", "b"]).collect()) == [("neg", "ratio_a"), ("neg", "ratio_b"), ("nul", "ratio_a"), ("sum", "ratio_sum")]
+    steps = spark.createDataFrame([("ok", 1.0, 0.5), ("up", 0.5, 1.0), ("nan", float("nan"), 0.1)], "k string, a double, b double")
+    assert sorted((r["k"], r["violation"]) for r in manifests.descending_violations(steps, "k", ["a", "b"]).collect()) == [("nan", "not_finite_a"), ("up", "ascends_b")]
+    codes = spark.createDataFrame([(9, "a", "minor"), (9, "a", "odd"), (21, " ", None)], "lp_id int, error_code string, severity string")
+    assert len(manifests.taxonomy_violations(codes).collect()) == 6
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from boreal import __main__ as cli
+
+    assert cli.main(["list"]) == 0 and "pack_accepted" in capsys.readouterr().out
+    assert cli.main(["run", "no_such_query", "x"]) == 2
+    (tmp_path / "a.txt").write_text("Une première ligne assez longue.\nUne première ligne assez longue.\ncourt\n", encoding="utf-8")
+    assert cli.main(["harvest", str(tmp_path / "a.txt"), "--out", str(tmp_path / "h.parquet")]) == 0
+    assert spark.read.parquet(str(tmp_path / "h.parquet")).count() == 1
+    assert cli.main(["split", str(tmp_path / "h.parquet"), "--key", "id", "--out", str(tmp_path / "s")]) == 0
+    assert spark.read.json(str(tmp_path / "s")).count() == 1
