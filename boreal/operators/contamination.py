@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boreal.functions.text import holdout_key, sha
+from boreal.operators.seen import Seen, dealt_join
 from boreal.session import written
 
 
@@ -78,22 +79,28 @@ def similar_matches(train: DataFrame, holdout: DataFrame, key: str, text: str =
         sides.append((rows, written(sets, f"{name}-sets")))
     (train_rows, train_sets), (hold_rows, hold_sets) = sides
 
-    def posted(sets: DataFrame, x: str, around: tuple[int, ...]) -> DataFrame:
+    def posted(sets: DataFrame, x: str, around: tuple[int, ...], seen=None) -> DataFrame:
         def batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in it:
                 sets, sizes, parts = [], [], []
                 for s, g in zip(pdf["set"], pdf["grams"], strict=True):
                     own = np.concatenate([_parts(g, c, threshold) for c in {max(_size_class(len(g), threshold) + i, 0) for i in around}])
+                    if seen is not None:
+                        own = own[seen.value.has(own)]
                     sets += [s] * len(own)
                     sizes.append(np.full(len(own), len(g), np.int32))
                     parts.append(own)
-                if sets:
-                    yield pd.DataFrame({f"set_{x}": sets, f"n_{x}": np.concatenate(sizes), "part": np.concatenate(parts)})
+                if parts:
+                    yield pd.DataFrame({f"set_{x}": pd.Series(sets, dtype="object"), f"n_{x}": np.concatenate(sizes), "part": np.concatenate(parts)})
 
         return sets.mapInPandas(batches, f"set_{x} binary, n_{x} int, part bigint")
 
+    # The far larger training side posts only parts the held-out side may have.
+    asked = written(posted(hold_sets, "b", (-1, 0, 1)), "holdout-parts")
+    seen = Seen.of(asked, "part", asked.count())
+    offered = posted(train_sets, "a", (0,), seen and train.sparkSession.sparkContext.broadcast(seen))
     near = F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * (threshold - 1e-9)
-    met = posted(train_sets, "a", (0,)).join(posted(hold_sets, "b", (-1, 0, 1)), "part")
+    met = dealt_join(written(offered, "train-parts"), asked, "part")
     pairs = met.where(near & (F.col("set_a") != F.col("set_b"))).select("set_a", "set_b").distinct()
     full = pairs.join(train_sets.select(F.col("set").alias("set_a"), F.col("grams").alias("ga")), "set_a").join(hold_sets.select(F.col("set").alias("set_b"), F.col("grams").alias("gb")), "set_b")
     both = F.size(F.array_intersect("ga", "gb"))
