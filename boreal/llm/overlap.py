@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boreal.llm import lexis
-from boreal.session import written
 
 SET_SCHEMA = "key {kind}, set_key binary, sid bigint, n int, words array<bigint>"
 
@@ -66,44 +65,6 @@ def with_sketch(sets: DataFrame) -> DataFrame:
     return sets.mapInPandas(batches, f"{schema}, s1 bigint, s2 bigint")
 
 
-class Seen:
-    """A bitmap of keys that occur, one bit for each hash slot: it may take a key for one that occurs, never the reverse."""
-
-    MOST, SEGMENT = 1 << 29, 1 << 20  # bits: 64 MB at most, gathered in pieces of 128 kB
-
-    def __init__(self, bits: np.ndarray):
-        self.bits, self.mask = bits, np.uint64(len(bits) * 8 - 1)
-
-    @staticmethod
-    def size(keys: int) -> int:
-        """Bits for so many keys: a power of two, 16 a key as long as the bound allows."""
-        return min(Seen.MOST, 1 << max(Seen.SEGMENT.bit_length() - 1, (16 * keys).bit_length()))
-
-    @staticmethod
-    def of(keys: DataFrame, key: str, count: int) -> Seen | None:
-        """Of a bigint column of at most ``count`` distinct keys. Slots are made distinct before they are gathered, so
-        no piece has more rows than bits. None where the bound would leave most bits set: nothing could be left out."""
-        size, segment = Seen.size(count), Seen.SEGMENT
-        if count > size:
-            return None
-        slots = keys.select(F.col(key).bitwiseAND(F.lit(size - 1)).alias("slot")).distinct()
-
-        def piece(pdf: pd.DataFrame) -> pd.DataFrame:
-            bits = np.zeros(segment, np.uint8)
-            bits[pdf["slot"].to_numpy() % segment] = 1
-            return pd.DataFrame({"piece": [int(pdf["slot"].iat[0]) // segment], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
-
-        found = slots.groupBy(F.shiftright("slot", segment.bit_length() - 1)).applyInPandas(piece, "piece int, bits binary").collect()
-        out = np.zeros(size // 8, np.uint8)
-        for r in found:
-            out[r["piece"] * (segment // 8) : (r["piece"] + 1) * (segment // 8)] = np.frombuffer(r["bits"], np.uint8)
-        return Seen(out)
-
-    def has(self, keys: np.ndarray) -> np.ndarray:
-        slot = keys.view(np.uint64) & self.mask
-        return (self.bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & np.uint8(1) > 0
-
-
 def postings(sets: DataFrame, rows: int, bands: int, carry: Sequence[str] = (), seen: Broadcast | None = None) -> DataFrame:
     """``shard`` and the carried bigint columns of each set, for each of its MinHash bands; with ``seen`` (a broadcast
     Seen) only for bands that may occur there."""
@@ -166,20 +127,6 @@ def prefixes(sets: DataFrame, ranks: Broadcast, threshold: float, carry: Sequenc
     return sets.select("words", *carry).mapInPandas(batches, ", ".join(f"{c} bigint" for c in ("shard", *carry)))
 
 
-def dealt_join(left: DataFrame, right: DataFrame, key: str = "shard", block: int = 2048) -> DataFrame:
-    """An inner join whose crowded keys are cut: the left rows of a key with more than ``block`` are dealt to parts of
-    that size by hash, and the key's right rows go to every part."""
-    crowd = written(left.groupBy(key).count().where(F.col("count") > block).select(key, F.ceil(F.col("count") / block).cast("int").alias("parts")), "crowd")
-    # One plan at every size: a merge join, whose skewed partitions the adaptive planner splits as well.
-    if crowd.isEmpty():
-        return left.join(right.hint("merge"), key)
-    part = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.coalesce("parts", F.lit(1))).cast("int")
-    dealt = left.join(crowd, key, "left").withColumn("part", part).drop("parts")
-    every = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))
-    spread = right.join(crowd, key, "left").withColumn("part", every).drop("parts")
-    return dealt.join(spread.hint("merge"), [key, "part"]).drop("part")
-
-
 def verified(pairs: DataFrame, left: DataFrame, right: DataFrame, threshold: float, ids: Sequence[str] = ("sid",)) -> DataFrame:
     """Candidates by ids (``<id>_a, <id>_b``) -> ``set_a, set_b, overlap`` with the exact word overlap at or above the
     threshold. Sets that share an id are all checked, so a clash can't lose a pair."""

@@ -35,9 +35,10 @@ def encoding(path: str = TOKENIZER):
 
 
 def count_tokens(texts: list[str | None], path: str = TOKENIZER) -> np.ndarray:
-    """The number of tokens of each text; a batch of texts is encoded at once, on the one core a task has."""
-    coded = encoding(path).encode_ordinary_batch([t or "" for t in texts], num_threads=1)
-    return np.fromiter(map(len, coded), np.int64, len(texts))
+    """The number of tokens of each text of a batch. The library's own batch call hands each text to a pool of threads,
+    of which a task's one core has no use: it takes twice as long."""
+    encode = encoding(path).encode_ordinary
+    return np.fromiter((len(encode(t)) if t else 0 for t in texts), np.int64, len(texts))
 
 
 def with_tokens(rows: DataFrame, text: str = "text", keep: dict[str, Column | str] | None = None, path: str = TOKENIZER, name: str = "tokens") -> DataFrame:

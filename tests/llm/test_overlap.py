@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from boreal.llm import leakage, lexis, neardup
 from boreal.llm.bktree import Forest
-from boreal.llm.overlap import Seen, distinct_sets, verified, with_sketch, word_sets
+from boreal.llm.overlap import distinct_sets, verified, with_sketch, word_sets
 
 
 def brute(a, b, threshold=0.65, cross=False):
@@ -110,16 +110,6 @@ def test_a_crowded_band_of_unlike_sets_is_told_apart_by_rare_words(spark):
     assert full.count() == 2 * len(want)
 
 
-def test_seen_forgets_no_key(spark):
-    keys = spark.range(50_000).select(F.xxhash64("id").alias("k"))
-    seen = Seen.of(keys, "k", 50_000)
-    mine = np.array([r["k"] for r in keys.collect()], np.int64)
-    assert seen.has(mine).all()
-    assert seen.has(np.random.default_rng(3).integers(-(1 << 62), 1 << 62, 20_000)).mean() < 0.08
-    assert Seen.of(keys, "k", Seen.MOST + 1) is None
-    assert not Seen.of(keys.limit(0), "k", 0).has(mine).any()
-
-
 def chat(text):
     return f"<|im_start|>system\nTu réponds.\n<|im_end|>\n<|im_start|>user\nQuoi?\n<|im_end|>\n<|im_start|>assistant\n{text}\n<|im_end|>"
 
