@@ -91,8 +91,8 @@ def grouped_splits(
     components = source_components(ties, "node", "record")
     placed = rows.groupBy("example_id").agg(F.min("node").alias("node")).join(components, "node", "left")
     placed = written(placed.select("example_id", F.coalesce("component", "node").alias("component")), "placed")
-    sizes = placed.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
-    total = placed.count()
+    sizes = written(placed.groupBy("component").agg(F.count(F.lit(1)).alias("n")), "sizes")
+    total = sizes.agg(F.sum("n")).first()[0] or 0
     fits = {k: F.col("n") <= F.lit(s * total) for k, s in shares.items()}
     mass = sizes.agg(*[F.sum(F.when(fits[k], F.col("n"))).alias(k) for k in shares]).first()
     weight = {k: min(1.0, s * total / mass[k]) if mass[k] else 0.0 for k, s in shares.items() if k != largest}
