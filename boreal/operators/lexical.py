@@ -111,6 +111,15 @@ def latest_by_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     return df.groupBy(key).agg(F.max_by(row, F.struct(*order)).alias("__row")).select("__row.*")
 
 
+def next_focus(df: DataFrame, tasks: Sequence[str], pairs: Sequence[str], otherwise: str = "broad") -> DataFrame:
+    """One row, ``focus``: which of some tasks and pair keys the rows (``task_type, lexical_pair_id``) still hold, in the
+    given order; ``otherwise`` where they hold none."""
+    there = [F.coalesce(F.bool_or(F.col("task_type") == t), F.lit(False)) for t in tasks] + [F.coalesce(F.bool_or(pair_key("lexical_pair_id") == k), F.lit(False)) for k in pairs]
+    flags = df.agg(*[c.alias(f"__{i}") for i, c in enumerate(there)])
+    found = F.filter(F.array(*[F.when(F.col(f"__{i}"), F.lit(n)) for i, n in enumerate((*tasks, *pairs))]), lambda x: x.isNotNull())
+    return flags.select(F.when(F.size(found) > 0, found).otherwise(F.array(F.lit(otherwise))).alias("focus"))
+
+
 def with_overrides(failed: DataFrame, overrides: DataFrame) -> DataFrame:
     """Failures (``lexical_pair_id, source, preferred, forbidden``) with what a table of overrides (``pair_key, preferred,
     forbidden, digital``, unique keys) says of their pair instead; a missing value overrides nothing."""

@@ -494,6 +494,17 @@ def failure_mining(spark, d):
     return lexical.mined_examples(own, 2, {"rewrite": 2.0, "correction": 1.5})
 
 
+@query(
+    f"""with f as (select task_type, regexp_replace(lexical_pair_id, '^[^:]*:', '') as key from {_FAILURES} where len(reasons) > 0)
+select array_to_string(case when len(x) > 0 then x else ['broad'] end, ' ') as focus from (select list_filter([case when exists (select 1 from f where task_type = 'choose_best_term') then 'choose_best_term' end, case when exists (select 1 from f where task_type = 'open_generation') then 'open_generation' end,
+case when exists (select 1 from f where key = 'balado') then 'balado' end, case when exists (select 1 from f where key = 'courriel') then 'courriel' end], lambda z: z is not null) as x)"""
+)
+def next_focus(spark, d):
+    """What the failures still are about."""
+    own = lexical.next_focus(_failed(spark, d), ["choose_best_term", "open_generation"], ["balado", "courriel"])
+    return own.select(F.array_join("focus", " ").alias("focus"))
+
+
 @query(
     f"""select prompt_id, run_id, adapter_response is not null and bonus <> '' and regexp_matches({_PAD.format(r='adapter_response')}, '[^\\p{{L}}\\p{{N}}_]' || regexp_escape(bonus) || '[^\\p{{L}}\\p{{N}}_]') as bonus_hit
 from (select g.prompt_id, run_id, adapter_response, lower(trim(coalesce(bonus, ''))) as bonus from base_vs_adapter_generations g left join (select prompt_id, min(scoring.exact_preferred_bonus) as bonus from eval_prompts where prompt_id is not null group by prompt_id) p using (prompt_id))"""

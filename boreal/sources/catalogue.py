@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from urllib.parse import urlencode
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boreal.functions.text import clean
 from boreal.operators.lexical import latest_by_key
 from boreal.operators.rules import cascade
+from boreal.sources.download import fetch
 
 PAYLOAD = """result struct<results: array<struct<id:string,name:string,title:string,notes:string,license_id:string,license_title:string,
 license_url:string,url:string,metadata_created:string,metadata_modified:string,organization:struct<name:string,title:string>,
@@ -35,6 +39,14 @@ def packages(spark: SparkSession, path: str) -> DataFrame:
     return latest_by_key(keyed, "key", ["file", "n"]).drop("file", "n")
 
 
+def search_payloads(spark: SparkSession, base_url: str, terms: Sequence[str], folder: str, rows: int = 100, **options) -> DataFrame:
+    """Searches a catalogue for each term and keeps the payloads in a folder that ``packages`` reads, in the order of the
+    terms; blank terms are passed over. The status of each search comes back (see download.fetch)."""
+    asked = [t.strip() for t in terms if t.strip()]
+    urls = [(f"search-{i:04d}", f"{base_url.rstrip('/')}/package_search?{urlencode({'rows': rows, 'q': t})}") for i, t in enumerate(asked)]
+    return fetch(spark, urls, folder, **options)
+
+
 def labels(items: Column) -> Column:
     """Distinct non-blank labels in order."""
     return F.array_sort(F.array_distinct(F.filter(F.transform(items, clean), lambda s: s.isNotNull() & (s != ""))))

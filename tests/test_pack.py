@@ -136,6 +136,8 @@ def test_overrides_and_least_coverage(spark):
     more = lexical.mined_examples(failed, 1, least_per_pair=3)
     assert more.where("lexical_pair_id = '01:email'").count() in (2, 3) and more.select("example_text").distinct().count() == more.count()
     assert lexical.mined_examples(failed.limit(0), 2, least_per_pair=2).collect() == []
+    assert lexical.next_focus(failed, ["rewrite", "correction"], ["email"]).first()["focus"] == ["rewrite", "email"]
+    assert lexical.next_focus(failed.limit(0), ["rewrite"], []).first()["focus"] == ["broad"]
     terms = spark.createDataFrame([(["Email", "mail"], "email"), (["Email"], "email"), ([], "email"), (None, "email")], "r array<string>, p string")
     assert [r["t"] for r in terms.select(lexical.rejected_term(F.col("r"), F.col("p")).alias("t")).collect()] == ["mail", "Email", "email", "email"]
 

@@ -99,6 +99,10 @@ def test_downloads(spark, tmp_path):
     assert [(r["status"], r["characters"]) for r in again.collect()] == [("cached", 12)]
     assert gates.download_verdict(again, 1, False).first()["ok"]
     assert [(r["source_id"], r["source_type"]) for r in download.local_manifest(again).collect()] == [("a", "local_text")]
+    found = json.dumps({"result": {"results": [{"id": "1", "title": "A"}]}}).encode()
+    status = catalogue.search_payloads(spark, "https://x.example/api/", ["eau", " ", "air et sol"], str(tmp_path / "s"), opener=lambda url, timeout: found)
+    assert [r["url"] for r in status.orderBy("source_id").collect()] == ["https://x.example/api/package_search?rows=100&q=eau", "https://x.example/api/package_search?rows=100&q=air+et+sol"]
+    assert [r["title"] for r in catalogue.packages(spark, str(tmp_path / "s")).collect()] == ["A"]
     (tmp_path / "p.html").write_text("<p>Bonjour</p>")
     pages, skipped = html.seed_pages(spark, [str(tmp_path / "p.html"), "https://x.example/z", "https://x.example/y"], 2)
     assert pages.count() == 1 and {(r["url"], r["reason"]) for r in skipped.collect()} == {("https://x.example/y", "remote"), ("https://x.example/z", "beyond_limit")}
