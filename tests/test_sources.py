@@ -171,3 +171,19 @@ def test_stream(spark, tmp_path):
         base = tmp_path / f"out-{lateness}"
         harvest.append(stream, str(base / "d"), str(base / "c")).awaitTermination()
         assert spark.read.parquet(str(base / "d")).count() == 1
+
+
+def test_a_stream_forgets_texts_behind_its_watermark(spark, tmp_path):
+    import datetime
+
+    source = tmp_path / "in"
+    for n, (text, day) in enumerate([("le premier texte de la source", 1), ("le premier  texte de la Source", 1), ("un autre texte bien plus tardif", 20), ("encore un texte, le lendemain", 21), ("le premier texte de la source", 22)]):
+        df = spark.createDataFrame([(text, datetime.datetime(2024, 3, day))], "text string, ingested_at timestamp")
+        df.coalesce(1).write.mode("append").parquet(str(source / f"part={n}"))
+    stream = harvest.harvest(harvest.read(spark, str(source / "*"), "text string, ingested_at timestamp", 1), min_chars=5, lateness="2 days")
+    harvest.append(stream, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
+    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted(r["text"] for r in rows).count("le premier texte de la source") == 2 and len(rows) == 4  # once more after its state is gone
+    counted = harvest.counts(harvest.read(spark, str(source / "*"), "text string, ingested_at timestamp", 1), "text", lateness="60 days")
+    last = harvest.latest(counted, ["start", "text"], str(tmp_path / "counts"), str(tmp_path / "state2"))
+    assert sum(r["n"] for r in last.collect()) == 5
