@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from boreal.session import discard, written
+from boreal.session import written
 
 
 def first_wins(df: DataFrame, keys: Sequence[str | Column], order: Sequence[str]) -> DataFrame:
@@ -68,24 +71,53 @@ def forgetful_dedup(df: DataFrame, key: str, order: Sequence[str], memory: int)
     return df.orderBy(*order).coalesce(1).mapInPandas(keep, df.schema)
 
 
-def dedup_examples(candidates: DataFrame, record: str, rank: str, order: Sequence[str], exact: str, normal: str, most: int, rounds: int = 20) -> DataFrame:
+def dedup_examples(candidates: DataFrame, record: str, rank: str, order: Sequence[str], exact: str, normal: str, most: int, rounds: int = 20, columns: Sequence[str] | None = None, alone: int = 100_000) -> DataFrame:
     """Examples in the given order, each unless an earlier kept one has its exact or normal hash, at most ``most``
     a record. An example beyond its record's limit claims no hash, so neither step can go first; instead, in
-    rounds: the first live candidate owns its hash, owners are ranked in their record, those beyond the limit die,
-    until none does. Rounds are written to the shared folder."""
-    # Rounds move ids and hashes only; the examples themselves are joined once, at the end.
-    columns = list(dict.fromkeys([*order, record, rank, exact, normal]))
-    live = written(candidates.select(*columns).withColumn("__dead", F.lit(False)), "candidates")
-    window = Window.partitionBy(record).orderBy(rank)
-    for _ in range(rounds):
-        alive = live.where(~F.col("__dead"))
-        first = alive.groupBy(normal).agg(F.min(F.struct(*order)).alias("__first"))
-        owners = alive.join(first, normal).where(F.struct(*order) == F.col("__first")).drop("__first")
-        ranked = written(owners.withColumn("__n", F.row_number().over(window)), "owners")
-        beyond = ranked.where(F.col("__n") > most).select(*order).withColumn("__over", F.lit(True))
-        if beyond.isEmpty():
-            return candidates.join(ranked.select(*order), list(order), "left_semi")
-        before, live = live, written(live.join(beyond, list(order), "left").withColumn("__dead", F.col("__dead") | F.coalesce("__over", F.lit(False))).drop("__over"), "candidates")
-        discard(before)
-        discard(ranked)
-    raise RuntimeError(f"examples not settled after {rounds} rounds")
+    rounds, what is sure is settled: the first open candidate of a hash owns it, for nothing before it can have it.
+    One that follows ``most`` owners or kept ones in its record is out, whether it owns its hash or not; an owner
+    that no more than ``most`` - 1 open or kept ones precede there is kept, and the others with its hash are out.
+    Records can hang on each other in a chain as long as the table, so what is open after ``rounds`` rounds, or is no
+    more than ``alone`` rows, is worked off in order by one task. ``columns`` are those of the result, where few and
+    small ones will do: they are carried along and the candidates are computed once."""
+    # Rounds move ids and hashes only; without ``columns`` the examples themselves are joined once, at the end.
+    moved = list(dict.fromkeys([*order, record, rank, normal, *(columns or ())]))
+    # Kept ones stay for a round after theirs, in which they keep their hash from the others.
+    live = written(candidates.select(*moved).withColumn("__kept", F.lit(False)).withColumn("__before", F.lit(0)), "candidates")
+    left, kept = live.count(), []
+    before = Window.partitionBy(record).orderBy(rank).rowsBetween(Window.unboundedPreceding, -1)
+    count = lambda c: (F.col("__before") + F.coalesce(F.sum(c.cast("int")).over(before), F.lit(0))).cast("int")
+    while left:
+        heads = live.groupBy(normal).agg(F.min(F.struct(*order)).alias("__first"), F.max("__kept").alias("__claimed"))
+        open_ones = live.where(~F.col("__kept")).join(heads.where(~F.col("__claimed")), normal).withColumn("__own", F.struct(*order) == F.col("__first")).drop("__first", "__claimed", "__kept")
+        if left <= alone or len(kept) >= rounds:
+            kept.append(written(_worked_off(open_ones.drop("__own"), record, order, normal, most), "kept"))
+            break
+        counted = open_ones.withColumn("__owners", count(F.col("__own"))).withColumn("__all", count(F.lit(True))).where(F.col("__owners") < most)
+        settled = counted.withColumn("__kept", F.col("__own") & (F.col("__all") < most)).withColumn("__before", count(F.col("__kept")))
+        live = written(settled.select(*moved, "__kept", "__before"), "candidates")
+        kept.append(live.where("__kept").drop("__kept", "__before"))
+        left = live.where(~F.col("__kept")).count()
+    if not kept:
+        return candidates.select(*columns) if columns else candidates
+    every = reduce(DataFrame.unionByName, kept)
+    return every.select(*columns) if columns else candidates.join(every.select(*order), list(order), "left_semi")
+
+
+def _worked_off(open_ones: DataFrame, record: str, order: Sequence[str], normal: str, most: int) -> DataFrame:
+    """The candidates that are kept when they are taken one by one; ``__before`` are kept ones before in the record."""
+
+    def keep(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set = set()
+        taken: Counter = Counter()
+        for batch in it:
+            mask = []
+            for own, h, n in zip(*(batch.column(c).to_pylist() for c in (record, normal, "__before")), strict=True):
+                mask.append(ok := h not in seen and n + taken[own] < most)
+                if ok:
+                    seen.add(h)
+                    taken[own] += 1
+            yield batch.filter(pa.array(mask, pa.bool_())).select(columns)
+
+    columns = [c for c in open_ones.columns if c != "__before"]
+    return open_ones.repartition(1).sortWithinPartitions(*order).mapInArrow(keep, open_ones.select(columns).schema)

@@ -66,7 +66,8 @@ def candidates(df: DataFrame, record: str, text: str = "text", strategies: Seque
     return out.withColumn("example_sha256", X.sha("example_text")).withColumn("example_norm_sha256", X.sha(X.norm_key("example_text")))
 
 
-def examples(df: DataFrame, record: str, order: Sequence[str], most: int = 3, **options) -> DataFrame:
-    """Candidates deduplicated and limited per record, as if records were worked off in the given order."""
+def examples(df: DataFrame, record: str, order: Sequence[str], most: int = 3, columns: Sequence[str] | None = None, **options) -> DataFrame:
+    """Candidates deduplicated and limited per record, as if records were worked off in the given order. With
+    ``columns`` only these, without texts: the candidates need not be made a second time."""
     made = candidates(df, record, **options)
-    return dedup_examples(made, record, "rank", [*order, "rank"], "example_sha256", "example_norm_sha256", most)
+    return dedup_examples(made, record, "rank", [*order, "rank"], "example_sha256", "example_norm_sha256", most, columns=columns)

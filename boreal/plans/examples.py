@@ -128,8 +128,7 @@ select c.doc_id, rank, task_type, example_sha256 from c join r using (i) where k
 def instruct_examples(spark, d):
     """Examples deduplicated, at most three a document."""
     own = _documents(spark, d).where("text is not null").select("doc_id", "text")
-    made = instruct.examples(own, "doc_id", ["doc_id"], 3, keep_raw=0.5, most_chars=100_000)
-    return made.select("doc_id", "rank", "task_type", "example_sha256")
+    return instruct.examples(own, "doc_id", ["doc_id"], 3, ["doc_id", "rank", "task_type", "example_sha256"], keep_raw=0.5, most_chars=100_000)
 
 
 # --- reports over examples ------------------------------------------------------------------------------------------

@@ -69,6 +69,21 @@ def test_example_dedup_matches_the_sequential_loop(spark, seed):
     assert rows_of(got.select("rec", "rank")) == sequential_examples(cands, 2)
 
 
+@pytest.mark.parametrize("options", [{}, {"alone": 0}, {"alone": 0, "rounds": 2}])
+def test_examples_that_hang_on_each_other_in_long_chains(spark, options):
+    rng = random.Random(7)
+    # One text shared by all records but beyond each one's limit; records each of which frees what the next one asks for; chance.
+    shared = [(r, k, f"e{r}-{k}", "same" if k == 2 else f"n{r}{k}") for r in range(40) for k in range(3)]
+    chain = [(100 + r, k, f"l{r}-{k}", f"link{r + (k == 2)}" if k != 1 else f"own{r}") for r in range(12) for k in range(3)]
+    chance = [(1000 + r, k, f"c{1000 * r + k}", f"c{rng.randrange(60)}") for r in range(60) for k in range(rng.randrange(1, 6))]
+    cands = shared + chain + chance
+    df = spark.createDataFrame(cands, "rec int, rank int, exact string, normal string").repartition(5)
+    want = sequential_examples(cands, 2)
+    for columns in (None, ["rec", "rank"]):
+        got = dedup.dedup_examples(df, "rec", "rank", ["rec", "rank"], "exact", "normal", 2, columns=columns, **options)
+        assert rows_of(got.select("rec", "rank")) == want
+
+
 def slow_cap(counts, cap):
     of = (lambda k: cap.get(k, 1.0)) if isinstance(cap, dict) else (lambda k: cap)
     left = dict(counts)
