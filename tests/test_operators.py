@@ -1,7 +1,9 @@
 import os
 import random
 from collections import Counter
+from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -217,6 +219,28 @@ def test_similar_matches_match_brute_force(spark):
     assert {tuple(r) for r in exact} == {(x, y) for x, p in a for y, q in b if q and len(q) > 2 and p == q}
 
 
+def test_similar_matches_write_texts_and_not_their_trigrams(spark):
+    rng = random.Random(5)
+    make = lambda: " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyzéèà", k=6)) for _ in range(100))
+    texts = [make() for _ in range(400)]
+    held = [texts[7][:-1] + "z", make()]
+    size = lambda: sum(p.stat().st_size for p in Path(session.scratch(spark)).rglob("*.parquet"))
+    before = size()
+    frame = lambda rows: spark.createDataFrame(list(enumerate(rows)), "id int, text string")
+    got = contamination.similar_matches(frame(texts), frame(held), "id")
+    assert [(r["train_id"], r["holdout_id"]) for r in got.collect()] == [(7, 0)]
+    assert size() - before < 3 * sum(map(len, texts))
+
+
+def test_sketches_differ_no_more_than_their_sets():
+    rng = np.random.default_rng(1)
+    for n, m, both in ((500, 40, 470), (3, 5, 0), (900, 0, 0), (300, 300, 300), (400, 380, 10)):
+        shared, a, b = (rng.integers(-(2**63), 2**63 - 1, k) for k in (both, n, m))
+        x, y = contamination._sketch(np.concatenate([shared, a])), contamination._sketch(np.concatenate([shared, b]))
+        assert len(x) == 4 and sum(int(v).bit_count() for v in (x ^ y).view(np.uint64)) <= n + m
+    assert not (contamination._sketch(shared) ^ contamination._sketch(shared[::-1])).any()
+
+
 def test_evaluation(spark):
     df = spark.createDataFrame([("Un courriel.", "email", "k", "1", 0.5, None), ("email!", None, "k", "0", 0.7, "mild"), ("courrielx", "", "k", "0", None, "odd"), ("", "", "k", "maybe", 0.1, None), ("", "", "k", "1", 3.0, None), ("", "", "k", "0", None, None)], "a string, b string, g string, ok string, sim double, code string")
     scored = evaluation.rescore(df.withColumn("w", F.array(F.lit("courriel"))).withColumn("u", F.array(F.lit("email"))), ["a", "b"], "w", "u").collect()
