@@ -103,9 +103,9 @@ def between_markers(x: Column | str, start: str, end: str) -> Column:
     return F.when(inner != "", inner).otherwise(_col(x))
 
 
-def sentences(x: Column | str) -> Column:
-    """Sentences of the cleaned text, cut after . ! ? and a blank."""
-    return F.filter(F.split(clean(x), r"(?<=[.!?]) "), lambda s: s != "")
+def sentences(x: Column | str, cleaned: bool = False) -> Column:
+    """Sentences of the cleaned text, cut after . ! ? and a blank; ``cleaned`` spares a text that is clean a second time."""
+    return F.filter(F.split(_col(x) if cleaned else clean(x), r"(?<=[.!?]) "), lambda s: s != "")
 
 
 def first_sentence(x: Column | str, most: int, own: Column | None = None) -> Column:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,7 +44,12 @@ def candidates(df: DataFrame, record: str, text: str = "text", strategies: Seque
     w = wording or Wording()
     # Each costly text is a column of its own, so that it is computed once and not once a strategy.
     base = df.withColumn("__body", X.clean(text))
-    base = base.withColumn("__low", F.lower("__body")).withColumn("__normal", X.clean(X.replace_words(F.col("__body"), REPLACEMENTS))).withColumn("__sents", X.sentences("__body"))
+    # Most texts hold none of the words to replace and are spared the replacements. They match without case, which also
+    # takes a long s and an i with or without a dot for the plain letters.
+    base = base.withColumn("__low", F.lower("__body")).withColumn("__sents", X.sentences("__body", cleaned=True))
+    plain = F.translate("__low", "ſı\u0307", "si")
+    some = reduce(or_, [F.contains(plain, F.lit(old)) for old, _ in REPLACEMENTS])
+    base = base.withColumn("__normal", F.when(some, X.clean(X.replace_words(F.col("__body"), REPLACEMENTS))).otherwise(F.col("__body")))
     base = base.withColumn("__marker", X.earliest(F.col("__low"), MARKERS)).withColumn("__pair", X.first_listed(F.col("__low"), CONTRASTS))
     body, normal = F.col("__body"), F.col("__normal")
     sents = F.col("__sents")

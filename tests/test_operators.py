@@ -327,3 +327,11 @@ def test_instruct_empty_and_null_texts(spark):
     df = spark.createDataFrame([(1, None), (2, " "), (3, "Bonjour, mon email est là. Merci.")], "i int, text string")
     made = instruct.examples(df, "i", ["i"], 3).collect()
     assert {r["i"] for r in made} == {3} and [r["task_type"] for r in sorted(made, key=lambda r: r["rank"])] == ["summarize", "style_rewrite", "qa_from_context"]
+
+
+def test_instruct_replacements_are_found_in_any_spelling(spark):
+    texts = ["Un EMAIL ici.", "un ſhopping.", "le par\u212aing.", "Un Téléphone Portable.", "Le PARKİNG ouvert.", "Un emaıl.", "emailing", "rien à changer"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    got = {r["i"]: r["messages"][2]["content"] for r in instruct.candidates(df, "i", strategies=("normalize",)).collect()}
+    want = {r["i"]: r["n"] for r in df.select("i", "text", X.clean(X.replace_words("text", instruct.REPLACEMENTS)).alias("n")).where("n <> text").collect()}
+    assert got == want and {0, 1, 2, 3} <= set(got) and not {6, 7} & set(got)
