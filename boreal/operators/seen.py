@@ -52,12 +52,13 @@ class Seen:
 def dealt_join(left: DataFrame, right: DataFrame, key: str = "shard", block: int = 2048) -> DataFrame:
     """An inner join whose crowded keys are cut: the left rows of a key with more than ``block`` are dealt to parts of
     that size by hash, and the key's right rows go to every part."""
-    crowd = written(left.groupBy(key).count().where(F.col("count") > block).select(key, F.ceil(F.col("count") / block).cast("int").alias("parts")), "crowd")
+    crowd = written(left.groupBy(key).count().where(F.col("count") > block).select(key, F.ceil(F.col("count") / block).cast("int").alias("__parts")), "crowd")
     # One plan at every size: a merge join, whose skewed partitions the adaptive planner splits as well.
     if crowd.isEmpty():
         return left.join(right.hint("merge"), key)
-    part = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.coalesce("parts", F.lit(1))).cast("int")
-    dealt = left.join(crowd, key, "left").withColumn("part", part).drop("parts")
-    every = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))
-    spread = right.join(crowd, key, "left").withColumn("part", every).drop("parts")
-    return dealt.join(spread.hint("merge"), [key, "part"]).drop("part")
+    # Names of its own: a key called like a helper column would be overwritten, and all rows would meet.
+    deal = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.coalesce("__parts", F.lit(1))).cast("int")
+    dealt = left.join(crowd, key, "left").withColumn("__deal", deal).drop("__parts")
+    every = F.explode(F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - 1))
+    spread = right.join(crowd, key, "left").withColumn("__deal", every).drop("__parts")
+    return dealt.join(spread.hint("merge"), [key, "__deal"]).drop("__deal")

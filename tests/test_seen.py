@@ -21,3 +21,13 @@ def test_crowded_keys_are_dealt_without_loss(spark):
     for block in (16, 10_000):
         assert sorted(tuple(r) for r in dealt_join(a, b, block=block).select("shard", "a", "b").collect()) == want
     assert dealt_join(a.limit(0), b).collect() == []
+
+
+def test_crowded_keys_meet_their_own_key_only_whatever_its_name(spark):
+    a = spark.createDataFrame([(k, i) for i in range(300) for k in (1 if i % 3 else i,)], "k bigint, a bigint")
+    b = spark.createDataFrame([(1, i) for i in range(40)] + [(3, 7), (None, 8)], "k bigint, b bigint")
+    want = sorted(tuple(r) for r in a.join(b, "k").collect())
+    for key in ("part", "parts"):
+        got = dealt_join(a.withColumnRenamed("k", key), b.withColumnRenamed("k", key), key, block=16)
+        assert got.columns == [key, "a", "b"]
+        assert sorted(tuple(r) for r in got.collect()) == want
